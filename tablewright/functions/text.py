@@ -84,7 +84,7 @@ class ElementFinder(HTMLParser):
         self.tag, self.attributes = tag, attributes
         self.depth, self.start, self.end = 0, None, None
 
-    def offset(self) -> int:
+    def position(self) -> int:
         line, column = self.getpos()
         return self.lines[line - 1] + column
 
@@ -94,7 +94,7 @@ class ElementFinder(HTMLParser):
         if self.start is not None:
             self.depth += 1
         elif self.attributes.items() <= dict(attrs).items():
-            self.start, self.depth = self.offset(), 1
+            self.start, self.depth = self.position(), 1
 
     def handle_startendtag(self, tag, attrs):
         pass
@@ -103,10 +103,10 @@ class ElementFinder(HTMLParser):
         if tag == self.tag and self.depth:
             self.depth -= 1
             if not self.depth:
-                self.end = self.rawdata_end()
+                self.end = self.tag_end()
 
-    def rawdata_end(self) -> int:
-        at = self.offset()
+    def tag_end(self) -> int:
+        at = self.position()
         return self.html.index(">", at) + 1
 
     def find(self, html: str) -> str | None:
