@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablewright.operators.ordered import top_per_group
 from tablewright.operators.sizes import broadcast_up_to
@@ -15,6 +16,38 @@ from tablewright.session import cut_lineage
 METRICS = ("confidence", "lift")
 
 
+def frequent_itemsets(orders: DataFrame, min_support: float) -> DataFrame:
+    """``(items, freq)`` of all item sets in at least that share of the orders, items sorted.
+
+    Written once, as the trees would otherwise be built again for every use.
+    """
+    growth = FPGrowth(itemsCol="order_product_list", minSupport=min_support, minConfidence=1.0)
+    found = growth.fit(orders.select("order_product_list")).freqItemsets
+    return cut_lineage(found.select(F.array_sort("items").alias("items"), "freq"))
+
+
+def rules_from_itemsets(itemsets: DataFrame, n_orders: int, min_confidence: float = 0.0) -> DataFrame:
+    """Every split of an item set into one consequent and the rest, with its measures."""
+    splits = itemsets.where(F.size("items") > 1).select(
+        "items", "freq", F.explode("items").alias("consequent")
+    ).select("freq", "consequent", F.array_remove("items", F.col("consequent")).alias("antecedent"))
+    antecedents = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("antecedent_freq"))
+    single = itemsets.where(F.size("items") == 1).select(
+        F.col("items")[0].alias("consequent"), F.col("freq").alias("consequent_freq")
+    )
+    confidence = F.col("freq") / F.col("antecedent_freq")
+    return (
+        splits.join(antecedents, "antecedent")
+        .where(confidence >= min_confidence)
+        .join(single, "consequent")
+        .select(
+            "antecedent", "consequent", confidence.alias("confidence"),
+            (confidence / (F.col("consequent_freq") / F.lit(n_orders))).alias("lift"),
+            (F.col("freq") / F.lit(n_orders)).alias("support"),
+        )
+    )
+
+
 def mine_rules(
     orders: DataFrame,
     min_transactions: int | None = None,
@@ -23,25 +56,16 @@ def mine_rules(
 ) -> DataFrame:
     """FP-growth rules with one consequent item: antecedent, consequent, confidence, lift, support.
 
-    The floor is a number of orders or a share of them. The rules are written
-    once, as mining would otherwise run again for every use of the result.
+    The floor is a number of orders or a share of them.
     """
     if (min_transactions is None) == (min_support is None):
         raise ValueError("give either min_transactions or min_support")
+    total = orders.count()
+    if total == 0:
+        raise ValueError("no orders to mine")
     if min_support is None:
-        total = orders.count()
-        if total == 0:
-            raise ValueError("no orders to mine")
         min_support = min(1.0, min_transactions / total)
-    growth = FPGrowth(itemsCol="order_product_list", minSupport=min_support, minConfidence=min_confidence)
-    rules = growth.fit(orders.select("order_product_list")).associationRules
-    return cut_lineage(
-        rules.select(
-            F.array_sort("antecedent").alias("antecedent"),
-            F.col("consequent")[0].alias("consequent"),
-            "confidence", "lift", "support",
-        )
-    )
+    return cut_lineage(rules_from_itemsets(frequent_itemsets(orders, min_support), total, min_confidence))
 
 
 def with_rule_id(rules: DataFrame) -> DataFrame:
@@ -52,7 +76,11 @@ def with_rule_id(rules: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RuleIndex:
-    """One row per rule and antecedent item, with what is known about its size."""
+    """One row per rule and antecedent item, with what is known about its size.
+
+    ``place`` ranks the rules of one antecedent by the metric; rules that differ
+    by no more than rounding share a place.
+    """
 
     rows: DataFrame
     n_rows: int
@@ -65,12 +93,14 @@ class RuleIndex:
 def index_rules(rules: DataFrame, metric: str = "confidence") -> RuleIndex:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    by_metric = Window.partitionBy("antecedent").orderBy(F.round(metric, 12).desc())
     # a short fixed-width id keeps the rows that go through the join small
-    rows = rules.select(
+    rows = rules.withColumn("place", F.rank().over(by_metric)).select(
         F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"),
         F.size("antecedent").alias("n_antecedent"),
         "consequent",
         F.col(metric).alias("metric"),
+        "place",
         F.explode("antecedent").alias("item"),
     )
     known = rows.agg(
@@ -83,18 +113,28 @@ def match_score(overlap: Column, n_antecedent: Column, n_cart: Column) -> Column
     return F.pow(overlap, 2) / (n_antecedent * n_cart)
 
 
-def match_rules(carts: DataFrame, index: RuleIndex) -> DataFrame:
+def match_rules(
+    carts: DataFrame, index: RuleIndex, best: int | None = None, partitions: int | None = None
+) -> DataFrame:
     """Each cart with each rule that shares an item with it, the overlap, and the score.
 
     An equi-join on single items. Carts are placed by order first, so the count
-    per rule and whatever the caller does per order need no further shuffle.
+    per rule and whatever the caller does per order need no further shuffle;
+    ``partitions`` sets how finely, as the rows grow by the rules per item.
+
+    With ``best`` only rules that can bring an item into a cart's best so many are
+    matched. That loses nothing: all rules of an antecedent share their match
+    score, and of the ones placed before a rule at most as many as the cart has
+    items lead to an item that it already holds.
     """
-    items = (
-        carts.select("order_id", "cart")
-        .repartition("order_id")
-        .select("order_id", "cart", F.size("cart").alias("n_cart"), F.explode("cart").alias("item"))
-    )
-    hits = items.join(index.for_join(), "item").select(
+    carts = carts.select("order_id", "cart")
+    placed = carts.repartition(partitions, "order_id") if partitions else carts.repartition("order_id")
+    items = placed.select("order_id", "cart", F.size("cart").alias("n_cart"), F.explode("cart").alias("item"))
+    rows = index.for_join()
+    shared = items["item"] == rows["item"]
+    if best is not None:
+        shared = shared & (rows["place"] <= items["n_cart"] + best)
+    hits = items.join(rows, shared).select(
         "order_id", "n_cart", "rule", "n_antecedent", "consequent", "metric",
         F.array_contains("cart", F.col("consequent")).alias("owned"),
     )
@@ -120,7 +160,7 @@ def best_consequents(matches: DataFrame) -> DataFrame:
 
 def rank_consequents(carts: DataFrame, index: RuleIndex, k: int = 5) -> DataFrame:
     """Top-k items per cart as rows; equal scores by item."""
-    best = best_consequents(match_rules(carts, index))
+    best = best_consequents(match_rules(carts, index, best=k))
     return top_per_group(best, ["order_id"], [F.col("rule_score").desc(), "consequent"], k)
 
 

@@ -22,6 +22,7 @@ from tablewright.operators.ordered import top_per_group
 from tablewright.operators.split import hash_sample
 
 METRICS = ("dot", "cosine", "l2")
+PAIRS_PER_TASK = 16
 
 
 def as_matrix(vectors: pd.Series) -> np.ndarray:
@@ -117,7 +118,10 @@ def nearest(
     right = corpus.select(
         "corpus_id", "vector", slot("corpus_id", corpus_blocks).alias("c"), each_slot(query_blocks).alias("q")
     )
-    return merge_blocks(left, right, ["q", "c"], k, metric, digits)
+    # block pairs are small but slow, so they must not be coalesced by size
+    pairs = query_blocks * corpus_blocks
+    tasks = max(min(2 * pairs, 4 * cores), math.ceil(pairs / PAIRS_PER_TASK))
+    return merge_blocks(left.repartition(tasks, "q", "c"), right.repartition(tasks, "q", "c"), ["q", "c"], k, metric, digits)
 
 
 def fit_cells(corpus: DataFrame, cells: int, sample_fraction: float = 1.0, seed: int = 42) -> np.ndarray:

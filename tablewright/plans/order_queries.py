@@ -56,8 +56,8 @@ def pair_rules(baskets):
     return mined.where(F.size("antecedent") == 1)
 
 
-def brand_carts(spark, sf):
-    return roles.baskets(spark, sf).select("order_id", F.col("order_product_list").alias("cart"))
+def as_carts(baskets):
+    return baskets.select("order_id", F.col("order_product_list").alias("cart"))
 
 
 @query("clean_orders", f"""WITH {BRANDS}, {USERS},
@@ -128,11 +128,12 @@ def _(spark, sf):
 SELECT r.antecedent, r.consequent, count(*) AS carts, round(avg(1.0::DOUBLE / n_cart), 6) AS mean_match
 FROM lines c JOIN sizes s ON s.order_id = c.order_id JOIN rules r ON r.antecedent = c.item GROUP BY 1, 2""")
 def _(spark, sf):
-    mined = pair_rules(roles.baskets(spark, sf))
+    baskets = roles.baskets(spark, sf)
+    mined = pair_rules(baskets)
     names = mined.select(
         F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"), F.col("antecedent")[0].alias("antecedent")
     )
-    matches = rules.match_rules(brand_carts(spark, sf), rules.index_rules(mined))
+    matches = rules.match_rules(as_carts(baskets), rules.index_rules(mined))
     per_rule = matches.groupBy("rule", "consequent").agg(
         F.count(F.lit(1)).alias("carts"), F.round(F.avg("match_score"), 6).alias("mean_match")
     )
@@ -144,8 +145,9 @@ def _(spark, sf):
 SELECT consequent, count(*) AS carts, round(avg(rule_score), 6) AS mean_score, round(max(rule_score), 6) AS best_score
 FROM scored GROUP BY 1""")
 def _(spark, sf):
-    index = rules.index_rules(pair_rules(roles.baskets(spark, sf)), "lift")
-    best = rules.best_consequents(rules.match_rules(brand_carts(spark, sf), index))
+    baskets = roles.baskets(spark, sf)
+    index = rules.index_rules(pair_rules(baskets), "lift")
+    best = rules.best_consequents(rules.match_rules(as_carts(baskets), index))
     return best.groupBy("consequent").agg(
         F.count(F.lit(1)).alias("carts"), F.round(F.avg("rule_score"), 6).alias("mean_score"),
         F.round(F.max("rule_score"), 6).alias("best_score"),
@@ -156,8 +158,9 @@ def _(spark, sf):
 {SIZES.format(src='lines')}, {SCORED.format(src='lines', metric='confidence')}
 SELECT order_id, rank::INTEGER AS rank, consequent, round(rule_score, 6) AS rule_score FROM ranked WHERE rank <= 5""")
 def _(spark, sf):
-    index = rules.index_rules(pair_rules(roles.baskets(spark, sf)))
-    ranked = rules.rank_consequents(brand_carts(spark, sf), index, 5)
+    baskets = roles.baskets(spark, sf)
+    index = rules.index_rules(pair_rules(baskets))
+    ranked = rules.rank_consequents(as_carts(baskets), index, 5)
     return ranked.select("order_id", "rank", "consequent", F.round("rule_score", 6).alias("rule_score"))
 
 
@@ -166,8 +169,9 @@ wanted AS (SELECT DISTINCT item FROM lines JOIN orders ON o_orderkey = order_id
 SELECT antecedent, consequent FROM rules WHERE antecedent IN (SELECT item FROM wanted)""")
 def _(spark, sf):
     dear = roles.table(spark, sf, "orders").where(F.col("o_totalprice") > 499000)
-    carts = brand_carts(spark, sf).join(dear.select(F.col("o_orderkey").alias("order_id")), "order_id", "left_semi")
-    found = rules.relevant_rules(pair_rules(roles.baskets(spark, sf)), carts)
+    baskets = roles.baskets(spark, sf)
+    carts = as_carts(baskets).join(dear.select(F.col("o_orderkey").alias("order_id")), "order_id", "left_semi")
+    found = rules.relevant_rules(pair_rules(baskets), carts)
     return found.select(F.col("antecedent")[0].alias("antecedent"), "consequent")
 
 

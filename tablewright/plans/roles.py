@@ -9,6 +9,7 @@ from tablewright.operators.ordered import top_per_group
 from tablewright.operators.orders import clean_orders
 from tablewright.operators.serving import turn_profile
 from tablewright.operators.split import temporal_split
+from tablewright.session import write_once
 
 REMOVED_BRANDS = ["Brand#4", "Brand#9"]
 MIN_SUPPORT = 0.01
@@ -30,19 +31,24 @@ def item_lines(spark: SparkSession, sf: str, item: str = "p_brand") -> DataFrame
     )
 
 
-def baskets(spark: SparkSession, sf: str, item: str = "p_brand") -> DataFrame:
+def basket_lists(spark: SparkSession, sf: str, item: str) -> DataFrame:
     """Orders as arrays of distinct items in line order. An array is no longer than the item list."""
     ordered = F.array_sort(F.collect_list(F.struct("line", "item")))
     return item_lines(spark, sf, item).groupBy("order_id").agg(ordered["item"].alias("order_product_list"))
 
 
+def baskets(spark: SparkSession, sf: str, item: str = "p_brand") -> DataFrame:
+    """Baskets as a saved table: the jobs read them several times."""
+    return write_once(basket_lists(spark, sf, item), "baskets")
+
+
 def user_orders(spark: SparkSession, sf: str, item: str = "p_brand") -> DataFrame:
     """Baskets with user and time: mpid, order_id, order_product_list, order_timestamp."""
     heads = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("mpid"),
         F.col("o_orderdate").alias("order_timestamp"),
     )
-    return baskets(spark, sf, item).join(heads, "order_id")
+    return write_once(basket_lists(spark, sf, item).join(heads, "order_id"), "orders")
 
 
 def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,6 +65,7 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 def train_test(spark: SparkSession, sf: str, item: str = "p_brand") -> tuple[DataFrame, DataFrame]:
     split = temporal_split(user_orders(spark, sf, item), "mpid", "order_timestamp", "order_id")
+    split = write_once(split, "split")
     return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
 
 

@@ -54,3 +54,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` out once, reliably, and go on from the written copy."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Save ``df`` as Parquet under the shared folder and read it back, for results that are used again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
