@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.columns import l2_normalize
 from tablewright.operators.ordered import top_per_group
 from tablewright.operators.split import hash_sample
 
@@ -125,10 +126,10 @@ def nearest(
 
 
 def fit_cells(corpus: DataFrame, cells: int, sample_fraction: float = 1.0, seed: int = 42) -> np.ndarray:
-    """Centres of ``cells`` clusters of the unit-length vectors."""
+    """Centres of ``cells`` clusters of the unit-length vectors; zero vectors may be among them."""
     sample = corpus if sample_fraction >= 1 else hash_sample(corpus, ["corpus_id"], sample_fraction, seed)
-    features = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=10, distanceMeasure="cosine").fit(features)
+    features = sample.select(array_to_vector(l2_normalize("vector")).alias("features"))
+    model = KMeans(k=cells, seed=seed, maxIter=10).fit(features)
     return unit_rows(np.array(model.clusterCenters()))
 
 
