@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tablewright.functions.columns import l2_normalize
 from tablewright.operators.features import interaction_share
 from tablewright.operators.orders import explode_items, hold_out_last
-from tablewright.operators.ordered import dense_ids, top_per_group
+from tablewright.operators.ordered import dense_ids
+from tablewright.operators.vectors import nearest
 from tablewright.session import shared_dir
 
 
@@ -67,20 +68,26 @@ def link_report(orders: DataFrame, matrix: Matrix) -> DataFrame:
     )
 
 
-def recommend_users(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
-    return model.recommendForUserSubset(users.select("user_id").distinct(), k)
+def recommend_users(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
+    """Top-k items per user, for all users of the model or those in ``users``.
 
-
-def ranked_rows(lists: DataFrame, matrix: Matrix, k: int = 20) -> DataFrame:
-    """Lists as rows with original labels: mpid, rank, item, score; equal scores by item."""
-    rows = (
-        lists.select("user_id", F.explode("recommendations").alias("r"))
-        .select("user_id", "r.item_id", F.col("r.rating").cast("double").alias("score"))
-        .join(matrix.items, "item_id")
-        .join(matrix.users, "user_id")
-        .select("mpid", "item", "score")
+    Rows of user_id, rank, item_id, score; equal scores by item id. The factors
+    are multiplied block by block.
+    """
+    factors = model.userFactors
+    if users is not None:
+        factors = factors.join(users.select(F.col("user_id").alias("id")).distinct(), "id")
+    found = nearest(
+        factors.select(F.col("id").alias("query_id"), F.col("features").alias("vector")),
+        model.itemFactors.select(F.col("id").alias("corpus_id"), F.col("features").alias("vector")),
+        k, "dot",
     )
-    return top_per_group(rows, ["mpid"], [F.col("score").desc(), "item"], k)
+    return found.select(F.col("query_id").alias("user_id"), "rank", F.col("corpus_id").alias("item_id"), "score")
+
+
+def with_labels(lists: DataFrame, matrix: Matrix) -> DataFrame:
+    """Recommended rows under their original labels: mpid, rank, item, score."""
+    return lists.join(matrix.items, "item_id").join(matrix.users, "user_id").select("mpid", "rank", "item", "score")
 
 
 def publish_lists(ranked: DataFrame, digits: int = 6) -> DataFrame:
@@ -106,9 +113,11 @@ def lookup_lists(requests: DataFrame, lists: DataFrame, k: int) -> DataFrame:
 
 def hit_rate(model: ALSModel, linked: DataFrame, k: int = 5) -> float | None:
     """Share of linked orders whose added item is among the user's k."""
-    lists = recommend_users(model, linked, k)
-    hit = F.array_contains("recommendations.item_id", F.col("added_item_id")).cast("double")
-    return lists.join(linked, "user_id").agg(F.avg(hit)).first()[0]
+    lists = recommend_users(model, k, linked).select(
+        "user_id", F.col("item_id").alias("added_item_id"), F.lit(1.0).alias("hit")
+    )
+    judged = linked.join(lists, ["user_id", "added_item_id"], "left")
+    return judged.agg(F.avg(F.coalesce("hit", F.lit(0.0)))).first()[0]
 
 
 @dataclass(frozen=True)

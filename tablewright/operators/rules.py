@@ -95,13 +95,15 @@ def index_rules(rules: DataFrame, metric: str = "confidence") -> RuleIndex:
         raise ValueError(f"metric must be one of {METRICS}")
     by_metric = Window.partitionBy("antecedent").orderBy(F.round(metric, 12).desc())
     # a short fixed-width id keeps the rows that go through the join small
-    rows = rules.withColumn("place", F.rank().over(by_metric)).select(
-        F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"),
-        F.size("antecedent").alias("n_antecedent"),
-        "consequent",
-        F.col(metric).alias("metric"),
-        "place",
-        F.explode("antecedent").alias("item"),
+    rows = cut_lineage(
+        rules.withColumn("place", F.rank().over(by_metric)).select(
+            F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"),
+            F.size("antecedent").alias("n_antecedent"),
+            "consequent",
+            F.col(metric).alias("metric"),
+            "place",
+            F.explode("antecedent").alias("item"),
+        )
     )
     known = rows.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.max("n_antecedent"), F.lit(0)).alias("longest")

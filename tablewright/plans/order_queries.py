@@ -393,7 +393,7 @@ def _(spark, sf):
 def _(spark, sf):
     matrix = factors.prepare(roles.user_orders(spark, sf))
     model = factors.fit(matrix.shares, rank=10, max_iter=5)
-    return factors.ranked_rows(model.recommendForAllUsers(20), matrix, 20)
+    return factors.with_labels(factors.recommend_users(model, 20), matrix)
 
 
 @query("als_tuned")

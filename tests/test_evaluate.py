@@ -77,7 +77,11 @@ def test_factor_model_end_to_end(spark):
     report = factors.link_report(test, matrix).first()
     assert report.linked == linked.count() and report.total == test.count() == report.linked + report.dropped
     model = factors.fit(matrix.shares, rank=6, max_iter=3)
-    ranked = factors.ranked_rows(model.recommendForAllUsers(20), matrix)
+    lists = factors.recommend_users(model, 20)
+    own = {(r.user_id, r.item_id): r.score for r in lists.collect()}
+    theirs = {(r.user_id, x.item_id): x.rating for r in model.recommendForAllUsers(20).collect() for x in r.recommendations}
+    assert own.keys() == theirs.keys() and list(own.values()) == pytest.approx([theirs[key] for key in own], abs=1e-5)
+    ranked = factors.with_labels(lists, matrix)
     published = factors.publish_lists(ranked).cache()
     for r in published.collect():
         assert len(r.recommendations) == len(r.scores) == 18 and len(set(r.recommendations)) == 18
