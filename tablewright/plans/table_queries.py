@@ -102,7 +102,7 @@ def _(spark, sf):
     """Rules with a surrogate key, published as a checked snapshot."""
     mined = mine_rules(roles.baskets(spark, sf), min_support=roles.MIN_SUPPORT)
     path = scratch_path(spark, "rules")
-    sync.publish(with_rule_id(mined), path, ["rule_id"])
+    sync.publish(with_rule_id(mined), path, ["rule_id"], buckets=8)
     return sync.read_snapshot(spark, path)
 
 
@@ -137,7 +137,7 @@ def _(spark, sf):
         F.col("c_custkey").alias("o_custkey"), F.lit(-1).cast("bigint").alias("o_orderkey"),
         F.lit(None).cast("timestamp_ntz").alias("o_orderdate"),
     )
-    sync.publish(start, f"{path}/table", ["o_custkey"])
+    sync.publish(start, f"{path}/table", ["o_custkey"], buckets=8)
     log = sync.read_file_stream(spark, sf, roles.table(spark, sf, "orders").schema, pattern="orders.parquet").select(
         "o_custkey", "o_orderkey", "o_orderdate",
         F.when(F.col("o_orderstatus") == "F", "delete").otherwise("update").alias("change_type"),

@@ -1,17 +1,19 @@
 """Keeping a keyed serving table up to date from files that arrive.
 
-The serving table is a series of Parquet snapshots below one path and a small
-table of pointers to them. A snapshot counts once its pointer is there, so a
-reader never sees half of one, and a batch that runs again after a failure
-writes the same version again.
+The table lies in Parquet folders, one per version and hash bucket of the key,
+next to a small table of pointers that says which version of each bucket is in
+force. A batch rewrites only the buckets it touches. A version counts once its
+pointers are there, so a reader never sees half of one, and a batch that runs
+again after a failure writes the same version again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -20,49 +22,80 @@ from pyspark.sql.utils import AnalysisException
 from tablewright.operators.keyed import apply_changes, change_feed, newest_per_key, require_key
 from tablewright.operators.retrieval import embed_text
 
-POINTERS = "version bigint"
+POINTERS = "version bigint, bucket int, rows bigint, buckets int, schema_json string"
+BUCKETS = 64
 
 
-def newest_version(spark: SparkSession, path: str, at_most: int | None = None) -> int | None:
-    """Number of the newest finished snapshot, if any."""
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def bucket_path(path: str, version: int, bucket: int) -> str:
+    return f"{path}/data/version={version}/__bucket={bucket}"
+
+
+def pointers_in_force(spark: SparkSession, path: str, at_most: int | None = None) -> list[Row]:
+    """The newest pointer of every bucket, up to a version; empty without a table."""
     try:
         pointers = spark.read.schema(POINTERS).parquet(f"{path}/pointers")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return None
+        return []
     if at_most is not None:
         pointers = pointers.where(F.col("version") <= at_most)
-    return pointers.agg(F.max("version")).first()[0]
+    fields = F.struct("version", "rows", "buckets", "schema_json")
+    newest = pointers.groupBy("bucket").agg(F.max_by(fields, "version").alias("p"))
+    return newest.select("bucket", "p.*").collect()
 
 
-def snapshot_path(path: str, version: int) -> str:
-    return f"{path}/snapshots/version={version}"
+def read_buckets(spark: SparkSession, path: str, pointers: Sequence[Row], only: set[int] | None = None) -> DataFrame:
+    newest = max(pointers, key=lambda p: p["version"])
+    schema = T.StructType.fromJson(json.loads(newest["schema_json"]))
+    paths = [
+        bucket_path(path, p["version"], p["bucket"])
+        for p in pointers
+        if p["rows"] and (only is None or p["bucket"] in only)
+    ]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    if version is None:
-        version = newest_version(spark, path)
-    if version is None:
-        raise FileNotFoundError(f"no snapshot below {path}")
-    return spark.read.parquet(snapshot_path(path, version))
-
+    """The table as of a version, by default the newest."""
+    pointers = pointers_in_force(spark, path, version)
+    if not pointers:
+        raise FileNotFoundError(f"no table at {path}")
+    return read_buckets(spark, path, pointers)
 
-def write_snapshot(df: DataFrame, path: str, version: int) -> None:
-    """Write the snapshot, then the row that makes it visible."""
-    df.write.mode("overwrite").parquet(snapshot_path(path, version))
-    pointer = df.sparkSession.createDataFrame([(version,)], POINTERS)
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointers")
 
+def write_version(
+    df: DataFrame, path: str, version: int, keys: Sequence[str], buckets: int, touched: set[int], splits: int = 1
+) -> None:
+    """Write the touched buckets, then the pointers that put them in force.
 
-def publish(df: DataFrame, path: str, keys: Sequence[str]) -> int:
-    """Write a whole table as the next snapshot after checking its key.
+    ``splits`` is the number of tasks and files per bucket.
+    """
+    spark = df.sparkSession
+    placed = df.withColumn("__bucket", bucket_of(keys, buckets))
+    part = F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(splits))
+    data = f"{path}/data/version={version}"
+    placed.repartition("__bucket", part).write.mode("overwrite").partitionBy("__bucket").parquet(data)
+    schema = T.StructType([*placed.schema.fields])
+    written = spark.read.schema(schema).parquet(data).groupBy("__bucket").count().collect()
+    rows = {r["__bucket"]: r["count"] for r in written}
+    text = df.schema.json()
+    pointers = [(version, b, rows.get(b, 0), buckets, text) for b in sorted(touched)]
+    spark.createDataFrame(pointers, POINTERS).coalesce(1).write.mode("append").parquet(f"{path}/pointers")
+
+
+def publish(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, splits: int = 1) -> int:
+    """Write a whole table as the next version after checking its key.
 
     A table that is kept up by :func:`triggered_sync` is published once, before the first sync.
     """
-    newest = newest_version(df.sparkSession, path)
-    version = 0 if newest is None else newest + 1
-    write_snapshot(require_key(df, keys), path, version)
+    known = pointers_in_force(df.sparkSession, path)
+    version = max(p["version"] for p in known) + 1 if known else 0
+    write_version(require_key(df, keys), path, version, keys, buckets, set(range(buckets)), splits)
     return version
 
 
@@ -90,9 +123,15 @@ def run_available(
 
 
 def triggered_sync(
-    stream: DataFrame, target: str, keys: Sequence[str], order: str | Column, checkpoint: str
+    stream: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    order: str | Column,
+    checkpoint: str,
+    buckets: int = BUCKETS,
+    splits: int = 1,
 ) -> StreamingQuery:
-    """Apply arrived changes to the newest snapshot.
+    """Apply arrived changes to the table; it keeps the bucket count it was published with.
 
     The stream holds the table's columns and ``change_type``; the last change of
     a key by ``order`` wins. Batch n always writes version n + 1 from what came before.
@@ -100,14 +139,20 @@ def triggered_sync(
     spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        base = newest_version(spark, target, at_most=batch_id)
-        columns = [c for c in batch.columns if c != "change_type"]
-        changes = newest_per_key(batch, keys, order)
-        if base is None:
-            current = spark.createDataFrame([], batch.select(*columns).schema)
-        else:
-            current = read_snapshot(spark, target, base)
-        write_snapshot(apply_changes(current, changes, keys), target, batch_id + 1)
+        pointers = pointers_in_force(spark, target, at_most=batch_id)
+        count = pointers[0]["buckets"] if pointers else buckets
+        changes = newest_per_key(batch, keys, order).persist()
+        try:
+            touched = {r[0] for r in changes.select(bucket_of(keys, count)).distinct().collect()}
+            if pointers:
+                current = read_buckets(spark, target, pointers, touched)
+            else:
+                columns = [c for c in batch.columns if c != "change_type"]
+                current = spark.createDataFrame([], batch.select(*columns).schema)
+            merged = apply_changes(current, changes, keys)
+            write_version(merged, target, batch_id + 1, keys, count, touched, splits)
+        finally:
+            changes.unpersist()
 
     return run_available(stream, checkpoint, handle)
 

@@ -60,6 +60,19 @@ def test_sync_equals_batch_and_survives_a_rerun(spark, tmp_path):
     assert {tuple(r) for r in sync.read_snapshot(spark, target).collect()} == {(1, "AA", 2), (3, "c", 1), (4, "d", 1)}
 
 
+def test_sync_rewrites_only_touched_buckets(spark, tmp_path):
+    source, target, marks = (str(tmp_path / d) for d in ("in", "table", "marks"))
+    start = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("t"))
+    sync.publish(start, target, ["k"], buckets=16)
+    schema = "k int, t int, change_type string"
+    spark.createDataFrame([(7, 1, "update")], schema).write.parquet(source)
+    sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", marks)
+    folders = os.listdir(f"{target}/data/version=1")
+    assert len([f for f in folders if f.startswith("__bucket=")]) == 1
+    got = {r.k: r.t for r in sync.read_snapshot(spark, target).collect()}
+    assert got == {i: int(i == 7) for i in range(200)}
+
+
 def test_sync_into_nothing(spark, tmp_path):
     source, target, marks = (str(tmp_path / d) for d in ("in", "table", "marks"))
     with pytest.raises(FileNotFoundError):
