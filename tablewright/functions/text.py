@@ -53,8 +53,7 @@ def last_content(messages: str | Column) -> Column:
 
 def word_count(text: str | Column) -> Column:
     """Whitespace-separated words; none in a null."""
-    trimmed = F.regexp_replace(F.coalesce(as_col(text), F.lit("")), r"^\s+|\s+$", "")
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, r"\s+"))).cast("long")
+    return F.regexp_count(F.coalesce(as_col(text), F.lit("")), F.lit(r"\S+")).cast("long")
 
 
 def article_markup(html: str | Column, tag: str = "article") -> Column:

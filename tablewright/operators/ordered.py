@@ -22,8 +22,9 @@ def running_by_bucket(
     bucket: Column,
     row_number: str | None = None,
     sums: dict[str, str] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """Row number and inclusive running sums per key, for keys of any size.
+    """Row number, inclusive running sums and row count per key, for keys of any size.
 
     ``bucket`` must be non-null and must grow with ``order`` inside a key (a day,
     a block of turns). Rows are sorted only inside one (key, bucket); what lies
@@ -37,7 +38,8 @@ def running_by_bucket(
         F.count(F.lit(1)).alias("__rows"),
         *[F.sum(src).alias(f"__sum_{name}") for name, src in sums.items()],
     )
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *group,
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows_before"),
@@ -45,11 +47,12 @@ def running_by_bucket(
             F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}")
             for name in sums
         ],
+        *([F.sum("__rows").over(whole).alias(total)] if total else []),
     )
     inside = Window.partitionBy(*group).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = tagged.join(offsets, group)
-    added = []
+    added = [total] if total else []
     if row_number:
         out = out.withColumn(row_number, F.row_number().over(inside) + F.col("__rows_before"))
         added.append(row_number)

@@ -20,17 +20,22 @@ def without_items(items: Column, removed: Sequence[str]) -> Column:
     return F.filter(items, lambda x: ~x.isin(*drop))
 
 
+def holds_items(text: Column, removed: Sequence[str]) -> Column:
+    """Whether anything is left after the removal; stops at the first such item."""
+    drop = [*removed, ""]
+    return F.exists(F.split(text, ","), lambda x: ~F.trim(x).isin(*drop))
+
+
 def clean_orders(raw: DataFrame, removed: Sequence[str] = ()) -> DataFrame:
     """Baskets with a per-user order number, 1 = earliest; equal times by order id."""
     day = F.coalesce(F.to_date("order_timestamp"), F.lit("0001-01-01").cast("date"))
     baskets = (
-        raw.select(
+        raw.where(holds_items(F.col("order_products"), removed)).select(
             "mpid",
             "order_id",
             without_items(split_items(F.col("order_products")), removed).alias("order_product_list"),
             F.to_timestamp("order_timestamp").alias("order_timestamp"),
         )
-        .where(F.size("order_product_list") > 0)
     )
     numbered = running_by_bucket(
         baskets, ["mpid"], ["order_timestamp", "order_id"], day, row_number="order_number"

@@ -16,12 +16,14 @@ from tablewright.session import cut_lineage
 METRICS = ("confidence", "lift")
 
 
-def frequent_itemsets(orders: DataFrame, min_support: float) -> DataFrame:
+def frequent_itemsets(orders: DataFrame, min_support: float, partitions: int | None = None) -> DataFrame:
     """``(items, freq)`` of all item sets in at least that share of the orders, items sorted.
 
     Written once, as the trees would otherwise be built again for every use.
     """
     growth = FPGrowth(itemsCol="order_product_list", minSupport=min_support, minConfidence=1.0)
+    if partitions:
+        growth = growth.setNumPartitions(partitions)
     found = growth.fit(orders.select("order_product_list")).freqItemsets
     return cut_lineage(found.select(F.array_sort("items").alias("items"), "freq"))
 
@@ -53,6 +55,7 @@ def mine_rules(
     min_transactions: int | None = None,
     min_support: float | None = None,
     min_confidence: float = 0.0,
+    partitions: int | None = None,
 ) -> DataFrame:
     """FP-growth rules with one consequent item: antecedent, consequent, confidence, lift, support.
 
@@ -65,7 +68,7 @@ def mine_rules(
         raise ValueError("no orders to mine")
     if min_support is None:
         min_support = min(1.0, min_transactions / total)
-    return cut_lineage(rules_from_itemsets(frequent_itemsets(orders, min_support), total, min_confidence))
+    return cut_lineage(rules_from_itemsets(frequent_itemsets(orders, min_support, partitions), total, min_confidence))
 
 
 def with_rule_id(rules: DataFrame) -> DataFrame:

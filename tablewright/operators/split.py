@@ -44,11 +44,9 @@ def feature_target_split(
 def temporal_split(orders: DataFrame, user: str, ts: str, order: str, fraction: float = 0.8) -> DataFrame:
     """Mark the earliest ``fraction`` of each user's orders as train, the rest as test."""
     day = F.coalesce(F.to_date(ts), F.lit("0001-01-01").cast("date"))
-    numbered = running_by_bucket(orders, [user], [ts, order], day, row_number="__position")
-    totals = orders.groupBy(user).agg(F.count(F.lit(1)).alias("__orders"))
+    numbered = running_by_bucket(orders, [user], [ts, order], day, row_number="__position", total="__orders")
     is_train = F.col("__position") <= F.ceil(F.col("__orders") * F.lit(fraction))
     return (
-        numbered.join(totals, user)
-        .withColumn("split", F.when(is_train, "train").otherwise("test"))
+        numbered.withColumn("split", F.when(is_train, "train").otherwise("test"))
         .drop("__position", "__orders")
     )

@@ -65,7 +65,7 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 def train_test(spark: SparkSession, sf: str, item: str = "p_brand") -> tuple[DataFrame, DataFrame]:
     split = temporal_split(user_orders(spark, sf, item), "mpid", "order_timestamp", "order_id")
-    split = write_once(split, "split")
+    split = write_once(split, "split", by=["split"])
     return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +57,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
-    """Save ``df`` as Parquet under the shared folder and read it back, for results that are used again."""
+def write_once(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Save ``df`` as Parquet under the shared folder and read it back, for results that are used again.
+
+    The files stay until someone empties the folder.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -120,6 +120,11 @@ def with_loose_id(df: DataFrame, name: str = "id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def with_load_stamp(df: DataFrame, id_name: str = "row_id", time_name: str = "loaded_at") -> DataFrame:
+    """A random id per row and the time of the load."""
+    return df.withColumns({id_name: F.expr("uuid()"), time_name: F.current_timestamp()})
+
+
 def with_dense_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
     """Ids 1, 2, 3 ... in the given order."""
     return global_positions(df, list(order), name, start=1)

@@ -160,6 +160,8 @@ def test_ids(spark):
     df = tables.local_rows(spark, [(3, "c"), (1, "a"), (2, "b")], KV).repartition(3)
     assert {(r.k, r.id) for r in tables.with_dense_id(df, ["k"]).collect()} == {(1, 1), (2, 2), (3, 3)}
     assert tables.with_loose_id(df).select("id").distinct().count() == 3
+    stamped = tables.with_load_stamp(df)
+    assert stamped.select("row_id").distinct().count() == 3 and stamped.select("loaded_at").distinct().count() == 1
 
 
 def test_manifest(spark, tmp_path):
