@@ -97,7 +97,7 @@ def _(spark, sf):
     """Prompts for the last user turn of every conversation, over all documents."""
     said = roles.table(spark, sf, "conversations").where(F.col("role") == "user")
     questions = said.groupBy(F.col("conv_id").alias("id")).agg(F.max_by("text", "turn").alias("question"))
-    docs = roles.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    docs = roles.texts(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     model = retrieval.fit_text_vectors(docs)
     found = retrieval.retrieve_context(questions, docs, model, k=3)
     return found.select("id", F.size("passages").alias("n_passages"), F.length("system_prompt").alias("n_chars"))
@@ -121,7 +121,7 @@ def _(spark, sf):
 t AS (SELECT page_id, regexp_replace(m, '<[^>]*>', '', 'g') AS t FROM a)
 SELECT page_id, length(t) AS n_chars, md5(t) AS digest FROM t""")
 def _(spark, sf):
-    pages = roles.table(spark, sf, "pages")
+    pages = roles.texts(spark, sf, "pages")
     found = pages.select("page_id", text.strip_tags(text.article_markup("html")).alias("t")).where(F.col("t").isNotNull())
     return found.select("page_id", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("digest"))
 
@@ -130,7 +130,7 @@ def _(spark, sf):
   WHERE regexp_matches(html, '(?is)<article(?:\s[^>]*)?>.*?</article\s*>'))
 SELECT page_id, length(m) AS n_chars, md5(m) AS digest FROM a""")
 def _(spark, sf):
-    pages = roles.table(spark, sf, "pages")
+    pages = roles.texts(spark, sf, "pages")
     found = pages.select("page_id", text.extract_element("article", {})("html").alias("m")).where(F.col("m").isNotNull())
     return found.select("page_id", F.length("m").cast("long").alias("n_chars"), F.md5("m").alias("digest"))
 
@@ -193,7 +193,7 @@ def _(spark, sf):
 @query("classifier")
 def _(spark, sf):
     """A logistic regression on simple document measures, judged on the held-out fifth."""
-    docs = roles.table(spark, sf, "documents")
+    docs = roles.texts(spark, sf, "documents")
     body = F.col("text")
     rows = roles.table(spark, sf, "labels").join(docs, "doc_id").select(
         "doc_id", F.log1p("n_chars").alias("size"),

@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose rows are costly to work on, spread over the cores when its files are fewer than these."""
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def item_lines(spark: SparkSession, sf: str, item: str = "p_brand") -> DataFrame:
     """Distinct items of each order with the line they first stand on."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")

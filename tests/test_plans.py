@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from tablewright.operators import rules
+from tablewright.operators.ordered import running_by_bucket
 from tablewright.plans import roles
 
 QUERIES = __spark_entry__.queries()
@@ -32,6 +34,21 @@ def test_ranking_shuffles_only_the_carts(spark, sf):
     assert "WindowGroupLimit" in operators
 
 
+def test_running_values_never_gather_a_whole_key(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(running_by_bucket(df, ["k"], ["t"], F.floor(F.col("t") / 50), row_number="n", total="all"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    placed = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(([^)]*)\)", text)
+    # only the bucket totals, two columns wide, may be placed by the key alone
+    whole = [columns for columns, keys in placed if "__bucket" not in keys]
+    assert placed and all("__rows" in columns and " t#" not in columns for columns in whole)
+    assert any(" t#" in columns and "__bucket" in keys for columns, keys in placed)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_window_over_everything(spark, sf, name, capfd):
     text = plan(QUERIES[name](spark, sf))
