@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tablewright.operators.ordered import top_per_group
 from tablewright.operators.sizes import broadcast_up_to
@@ -81,8 +80,8 @@ def with_rule_id(rules: DataFrame) -> DataFrame:
 class RuleIndex:
     """One row per rule and antecedent item, with what is known about its size.
 
-    ``place`` ranks the rules of one antecedent by the metric; rules that differ
-    by no more than rounding share a place.
+    ``ahead`` counts the rules of the same antecedent whose metric is higher by
+    more than rounding could undo.
     """
 
     rows: DataFrame
@@ -96,15 +95,18 @@ class RuleIndex:
 def index_rules(rules: DataFrame, metric: str = "confidence") -> RuleIndex:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    by_metric = Window.partitionBy("antecedent").orderBy(F.round(metric, 12).desc())
+    ahead = F.expr(
+        f"count(1) OVER (PARTITION BY antecedent ORDER BY -ln(greatest({metric}, 1e-300D)) "
+        "RANGE BETWEEN UNBOUNDED PRECEDING AND 1e-9D PRECEDING)"
+    )
     # a short fixed-width id keeps the rows that go through the join small
     rows = cut_lineage(
-        rules.withColumn("place", F.rank().over(by_metric)).select(
+        rules.withColumn("ahead", ahead).select(
             F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"),
             F.size("antecedent").alias("n_antecedent"),
             "consequent",
             F.col(metric).alias("metric"),
-            "place",
+            "ahead",
             F.explode("antecedent").alias("item"),
         )
     )
@@ -129,8 +131,8 @@ def match_rules(
 
     With ``best`` only rules that can bring an item into a cart's best so many are
     matched. That loses nothing: all rules of an antecedent share their match
-    score, and of the ones placed before a rule at most as many as the cart has
-    items lead to an item that it already holds.
+    score, and of the ones ahead of a rule at most as many as the cart has items
+    lead to an item that it already holds.
     """
     carts = carts.select("order_id", "cart")
     placed = carts.repartition(partitions, "order_id") if partitions else carts.repartition("order_id")
@@ -138,7 +140,7 @@ def match_rules(
     rows = index.for_join()
     shared = items["item"] == rows["item"]
     if best is not None:
-        shared = shared & (rows["place"] <= items["n_cart"] + best)
+        shared = shared & (rows["ahead"] < items["n_cart"] + best)
     hits = items.join(rows, shared).select(
         "order_id", "n_cart", "rule", "n_antecedent", "consequent", "metric",
         F.array_contains("cart", F.col("consequent")).alias("owned"),
