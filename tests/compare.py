@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import sys
 import time
 
@@ -54,6 +55,20 @@ def differences(spark_df, con, sql: str) -> list[str]:
     return problems
 
 
+def plan(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def plan_problems(df) -> list[str]:
+    """Cross joins, and windows that gather the whole input."""
+    text = plan(df)
+    found = [name for name in ("CartesianProduct", "BroadcastNestedLoopJoin") if name in text]
+    if re.search(r"windowspecdefinition\((?:[^(),]* (?:ASC|DESC)|specifiedwindowframe)", text):
+        found.append("window without a partition")
+    return found
+
+
 def main(names: list[str]) -> int:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from tablewright.plans.catalog import ORACLES, QUERIES
@@ -72,10 +87,10 @@ def main(names: list[str]) -> int:
         try:
             df = QUERIES[name](spark, sf)
             if name in ORACLES:
-                problems = differences(df, con, ORACLES[name])
+                problems = plan_problems(df) + differences(df, con, ORACLES[name])
                 note = "same"
             else:
-                problems, note = [], f"{df.count()} rows, no SQL"
+                problems, note = plan_problems(df), f"{df.count()} rows, no SQL"
         except Exception as error:  # report every query
             problems, note = [f"{type(error).__name__}: {str(error)[:1500]}"], ""
         failed += bool(problems)
