@@ -28,7 +28,10 @@ class Matrix:
 
 
 def prepare(orders: DataFrame) -> Matrix:
-    """Dense ids and shares. Pairs are counted before they meet the id tables."""
+    """Dense ids and shares. Pairs are counted before they meet the id tables.
+
+    Pass a saved table, as it is read several times.
+    """
     pairs = explode_items(orders, "mpid")
     users = dense_ids(pairs, "mpid", "user_id").select("mpid", F.col("user_id").cast("int").alias("user_id"))
     items = dense_ids(pairs, "item", "item_id").select("item", F.col("item_id").cast("int").alias("item_id"))
@@ -137,7 +140,7 @@ def tune(
 ) -> Search:
     """Seeded random search for the hit rate on linked validation orders.
 
-    Each trial is a Spark job. Fit the final model on all training data afterwards.
+    Each trial is a Spark job. :func:`refit` fits the best setting on all training data.
     """
     draw = random.Random(seed)
     shares, linked = train.shares.persist(), validation.persist()
@@ -153,6 +156,12 @@ def tune(
     return Search(log, max(log, key=lambda t: (t["hit"] or 0.0, -t["trial"])))
 
 
+def refit(orders: DataFrame, search: Search, seed: int = 42) -> tuple[Matrix, ALSModel]:
+    """The best setting of a search, fitted on the given orders."""
+    matrix = prepare(orders)
+    return matrix, fit(matrix.shares, search.best["rank"], search.best["max_iter"], seed)
+
+
 def unit_vectors(model: ALSModel, matrix: Matrix) -> tuple[DataFrame, DataFrame]:
     """User and item vectors of length one: ``(mpid, embedding)``, ``(item_idx, item_name, embedding)``."""
     users = model.userFactors.join(matrix.users, F.col("id") == F.col("user_id")).select(

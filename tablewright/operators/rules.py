@@ -58,7 +58,8 @@ def mine_rules(
 ) -> DataFrame:
     """FP-growth rules with one consequent item: antecedent, consequent, confidence, lift, support.
 
-    The floor is a number of orders or a share of them.
+    The floor is a number of orders or a share of them. Pass a saved table, as it
+    is read several times.
     """
     if (min_transactions is None) == (min_support is None):
         raise ValueError("give either min_transactions or min_support")

@@ -124,7 +124,7 @@ def trace_tokens(traces: DataFrame, column: str = "trace") -> DataFrame:
 
     def pick(field: str) -> Column:
         return (
-            F.when(F.col("own").isNotNull(), F.col(f"own.{field}"))
+            F.when(F.col("own.input_tokens").isNotNull(), F.col(f"own.{field}"))
             .when(F.col("s.input_tokens") > 0, F.col(f"s.{field}"))
             .alias(field)
         )

@@ -92,6 +92,8 @@ def test_factor_model_end_to_end(spark):
     assert sorted(len(r.recommendations) for r in found.values()) == [0, 5]
     search = factors.tune(matrix, linked, trials=2, ranks=(2, 5), iterations=(1, 2))
     assert len(search.trials) == 2 and search.best["hit"] == max(t["hit"] for t in search.trials)
+    whole, final = factors.refit(cleaned, search)
+    assert final.rank == search.best["rank"] and final.userFactors.count() == whole.users.count()
     users, items = factors.unit_vectors(model, matrix)
     for r in [*users.collect(), *items.collect()]:
         assert sum(x * x for x in r.embedding) == pytest.approx(1.0, abs=1e-5)
