@@ -263,12 +263,14 @@ def _(spark, sf):
     return split.select("mpid", "order_id", "split")
 
 
-@query("hash_split")
+@query("hash_split", """SELECT o_custkey, count(*) AS orders, 1 AS parts FROM orders GROUP BY 1""")
 def _(spark, sf):
-    parts = hash_split(roles.table(spark, sf, "orders"), ["o_orderkey"], [0.64, 0.16, 0.2])
-    names = ("train", "validation", "test")
-    counts = [p.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("part"), "n") for n, p in zip(names, parts)]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """Users fall into train, validation or test as a whole, and none is lost."""
+    parts = hash_split(roles.table(spark, sf, "orders"), ["o_custkey"], [0.64, 0.16, 0.2])
+    tagged = [p.select("o_custkey", F.lit(n).alias("part")) for n, p in zip(("train", "validation", "test"), parts)]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("orders"), F.count_distinct("part").cast("int").alias("parts")
+    )
 
 
 IDS = """user_ids AS (SELECT mpid, row_number() OVER (ORDER BY mpid)::INTEGER AS user_id

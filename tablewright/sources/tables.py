@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +56,39 @@ def new_files(listed: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, refs: DataFrame, path_column: str, root: str) -> DataFrame:
-    """Add the bytes behind each path reference as ``content``, null where the file is missing."""
+    """Add the bytes behind each path reference as ``content``, null where the file is missing.
+
+    Reads every file below ``root``; for a few references use :func:`fetch_payloads_by_path`.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     plain = F.regexp_replace("path", "^file:/*", "/")
     return refs.join(files.select(plain.alias(path_column), "content"), path_column, "left")
 
 
+def read_bytes(path: str) -> bytes | None:
+    """Content of a file on any file system Arrow knows, null when it is missing."""
+    files, name = (fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path))
+    try:
+        with files.open_input_stream(name) as stream:
+            return stream.read()
+    except FileNotFoundError:
+        return None
+
+
+def fetch_payloads_by_path(refs: DataFrame, path_column: str, threads: int = 16, chunk: int = 64) -> DataFrame:
+    """Add the bytes of the referenced files alone as ``content``, a chunk of rows at a time."""
+    schema = T.StructType([*refs.schema.fields, T.StructField("content", T.BinaryType())])
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for batch in batches:
+                for start in range(0, len(batch), chunk):
+                    part = batch.iloc[start : start + chunk]
+                    yield part.assign(content=list(pool.map(read_bytes, part[path_column])))
+
+    return refs.mapInPandas(fetch, schema)
+
+
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", overwrite_schema: bool = True) -> None:
     """Save as a Parquet table. Overwriting takes the new schema unless told not to."""
     spark = df.sparkSession
