@@ -108,7 +108,6 @@ def index_rules(rules: DataFrame, metric: str = "confidence") -> RuleIndex:
             "consequent",
             F.col(metric).alias("metric"),
             "ahead",
-            "antecedent",
             F.explode("antecedent").alias("item"),
         )
     )
@@ -127,9 +126,10 @@ def match_rules(
 ) -> DataFrame:
     """Each cart with each rule that shares an item with it, the overlap, and the score.
 
-    An equi-join on single items. Carts are placed by order first, so whatever the
-    caller does per order needs no further shuffle; ``partitions`` sets how
-    finely, as the rows grow by the rules per item.
+    An equi-join on single items. Carts are placed by order first, so the count
+    per rule and whatever the caller does per order need no further shuffle;
+    ``partitions`` sets how finely. It is never coalesced by size, as the rows
+    grow by the rules per item.
 
     With ``best`` only rules that can bring an item into a cart's best so many are
     matched. That loses nothing: all rules of an antecedent share their match
@@ -137,7 +137,9 @@ def match_rules(
     lead to an item that it already holds.
     """
     carts = carts.select("order_id", "cart")
-    placed = carts.repartition(partitions, "order_id") if partitions else carts.repartition("order_id")
+    if partitions is None:
+        partitions = int(carts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = carts.repartition(partitions, "order_id")
     items = placed.select(
         "order_id", "cart", F.size("cart").alias("n_cart"), F.explode(F.array_distinct("cart")).alias("item")
     )
@@ -145,20 +147,17 @@ def match_rules(
     shared = items["item"] == rows["item"]
     if best is not None:
         shared = shared & (rows["ahead"] < items["n_cart"] + best)
-    hits = items.join(rows, shared)
-    if index.longest > 1:
-        # a rule meets a cart once per common item; the first of them stands for all
-        common = F.when(F.col("n_antecedent") > 1, F.array_intersect("antecedent", "cart"))
-        hits = hits.withColumn("common", common).where(
-            F.col("common").isNull() | (F.get("common", F.lit(0)) == rows["item"])
-        )
-        overlap = F.coalesce(F.size("common"), F.lit(1)).cast("long")
-    else:
-        overlap = F.lit(1).cast("long")
-    hits = hits.select(
+    hits = items.join(rows, shared).select(
         "order_id", "n_cart", "rule", "n_antecedent", "consequent", "metric",
-        F.array_contains("cart", F.col("consequent")).alias("owned"), overlap.alias("overlap"),
+        F.array_contains("cart", F.col("consequent")).alias("owned"),
     )
+    if index.longest > 1:
+        # all follow from order and rule; as keys they allow hash aggregation
+        hits = hits.groupBy(
+            "order_id", "rule", "n_cart", "n_antecedent", "consequent", "metric", "owned"
+        ).agg(F.count(F.lit(1)).alias("overlap"))
+    else:
+        hits = hits.withColumn("overlap", F.lit(1).cast("long"))
     score = match_score(F.col("overlap"), F.col("n_antecedent"), F.col("n_cart"))
     return hits.withColumn("match_score", score).withColumn("rule_score", F.col("metric") * F.col("match_score"))
 

@@ -98,7 +98,7 @@ def _(spark, sf):
     )
 
 
-@query("assoc_rules_deep", f"""WITH {BRANDS}, total AS (SELECT count(DISTINCT order_id) AS n FROM lines),
+DEEP_RULES = """total AS (SELECT count(DISTINCT order_id) AS n FROM lines),
 floor AS (SELECT ceil(0.002 * n) AS n FROM total),
 i1 AS (SELECT item AS a, count(*) AS n FROM lines GROUP BY 1 HAVING count(*) >= (SELECT n FROM floor)),
 i2 AS (SELECT x.item AS a, y.item AS b, count(*) AS n FROM lines x JOIN lines y
@@ -112,17 +112,40 @@ found AS (
   UNION ALL SELECT i2.b, i2.a, i2.n, i1.n FROM i2 JOIN i1 ON i1.a = i2.b
   UNION ALL SELECT i3.a || '+' || i3.b, i3.c, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.a AND i2.b = i3.b
   UNION ALL SELECT i3.a || '+' || i3.c, i3.b, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.a AND i2.b = i3.c
-  UNION ALL SELECT i3.b || '+' || i3.c, i3.a, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.b AND i2.b = i3.c)
+  UNION ALL SELECT i3.b || '+' || i3.c, i3.a, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.b AND i2.b = i3.c)"""
+
+
+def deep_rules(baskets):
+    """Rules with one or two antecedent items, at a low support."""
+    return rules.mine_rules(baskets, min_support=0.002).where(F.size("antecedent") <= 2)
+
+
+@query("assoc_rules_deep", f"""WITH {BRANDS}, {DEEP_RULES}
 SELECT antecedent, consequent, round(n::DOUBLE / na, 6) AS confidence,
   round(n::DOUBLE / (SELECT n FROM total), 6) AS support FROM found""")
 def _(spark, sf):
-    mined = rules.mine_rules(roles.baskets(spark, sf), min_support=0.002).where(F.size("antecedent") <= 2)
-    return mined.select(
+    return deep_rules(roles.baskets(spark, sf)).select(
         F.array_join("antecedent", "+").alias("antecedent"), "consequent",
         F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"),
     )
 
 
+@query("mba_topk_deep", f"""WITH {BRANDS}, {DEEP_RULES}, {SIZES.format(src='lines')},
+parts AS (SELECT antecedent, consequent, n::DOUBLE / na AS confidence, len(string_split(antecedent, '+')) AS n_antecedent,
+  unnest(string_split(antecedent, '+')) AS item FROM found),
+hits AS (SELECT c.order_id, antecedent, consequent, any_value(confidence) AS confidence, any_value(n_antecedent) AS n_antecedent,
+  any_value(n_cart) AS n_cart, count(*) AS overlap
+  FROM lines c JOIN parts p ON p.item = c.item JOIN sizes s ON s.order_id = c.order_id GROUP BY 1, 2, 3),
+scored AS (SELECT order_id, consequent, max(confidence * ((overlap * overlap)::DOUBLE / (n_antecedent * n_cart))) AS rule_score
+  FROM hits h WHERE NOT EXISTS (SELECT 1 FROM lines o WHERE o.order_id = h.order_id AND o.item = h.consequent) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY rule_score DESC, consequent) AS rank FROM scored)
+SELECT order_id, rank::INTEGER AS rank, consequent, round(rule_score, 6) AS rule_score FROM ranked WHERE rank <= 5""")
+def _(spark, sf):
+    baskets = roles.baskets(spark, sf)
+    ranked = rules.rank_consequents(as_carts(baskets), rules.index_rules(deep_rules(baskets)), 5)
+    return ranked.select("order_id", "rank", "consequent", F.round("rule_score", 6).alias("rule_score"))
+
+
 @query("rule_match", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)},
 {SIZES.format(src='lines')}
 SELECT r.antecedent, r.consequent, count(*) AS carts, round(avg(1.0::DOUBLE / n_cart), 6) AS mean_match
