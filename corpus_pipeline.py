@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, mixing, pii, quality
+from tablewright.llm import decontamination, mixing, near_duplicates, pii, quality
 from tablewright.llm.common import table
 from tablewright.session import scratch_path
 
@@ -14,6 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, groups and similarity as in ``op9_minhash_near_dedup``."""
+    return near_duplicates.deduplicate(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with less than one word in twenty inside a benchmark window."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -31,6 +36,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("MinHash near-dedup", minhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("personal data", personal_data),
     ("source mixing", source_mixing),

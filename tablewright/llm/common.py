@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +83,36 @@ def make_rows(df: DataFrame, outputs: Sequence[tuple[str, pa.DataType]], work: C
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def chunks(texts: Sequence[str | None], limit: int = 4_000_000):
+    """(start, end) of runs of texts with about ``limit`` characters, or one longer text, each."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or "") > limit:
+            yield start, i
+            start, size = i, 0
+        size += len(t or "") + 1
+    if start < len(texts):
+        yield start, len(texts)
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)  # fixed values of the SplitMix64 generator
+_MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers scrambled by the SplitMix64 finaliser."""
+    x = x + _STEP
+    x = (x ^ (x >> np.uint64(30))) * _MIX1
+    x = (x ^ (x >> np.uint64(27))) * _MIX2
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(word_lists: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in a row, and where each list's words begin (one entry more than lists)."""
+    bounds = np.zeros(len(word_lists) + 1, dtype=np.int64)
+    np.cumsum([len(w) for w in word_lists], out=bounds[1:])
+    flat = np.empty(bounds[-1], dtype=object)
+    flat[:] = [w for words in word_lists for w in words]
+    return pd.util.hash_array(flat) if len(flat) else np.empty(0, np.uint64), bounds

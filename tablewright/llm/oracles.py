@@ -51,3 +51,24 @@ SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
        md5('17:order:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(copy AS VARCHAR)) AS shuffle_key
 FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted)
 """
+
+NEAR_DUPLICATES_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 1], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * shared >= 80 * (a.n + b.n - shared)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION SELECT r.doc_id, l.y FROM reach r JOIN both_ways l ON l.x = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
+"""

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, mixing, pii, quality
+from tablewright.llm import decontamination, mixing, near_duplicates, pii, quality
 from tablewright.llm.common import table
-from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL
+from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,10 +37,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op4_personal_data": op4_personal_data,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op2_source_mixing": MIXING_SQL,
     "op5_benchmark_decontamination": DECONTAMINATION_SQL,
+    "op9_minhash_near_dedup": NEAR_DUPLICATES_SQL,
 }
