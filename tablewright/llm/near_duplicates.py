@@ -5,8 +5,8 @@ falls on a register; a register keeps the time of its first event over all shing
 power of BASE. Sketches merge by maximum, and two registers are equal about as often as the sets are similar.
 
 Texts with equal shingle sets are one class. In each band bucket, members are compared with one hub instead of with each
-other. What the hubs leave apart is then compared pair by pair, but only between groups that are not linked yet, so a
-group of copies never turns into all its pairs and no link between groups is lost.
+other. What the hubs leave apart is then compared block by block inside tasks, but only with groups that it is not linked
+with yet, so a group of copies never turns into all its pairs and no link between groups is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +33,11 @@ BASE = 1.05
 OFFSET = math.log(20, BASE)
 #: A pair is dropped before its sets are compared if similarities from the threshold on are this much less likely (log).
 LOG_RATIO = 20.0
+#: Bands that classes of different pools share before they are compared: at the threshold 17.6 are expected, and fewer
+#: than 3 come with a chance of one in ten million.
+LEAST_BANDS = 3
+#: Classes in a block that is compared with another block at once.
+BLOCK = 256
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
@@ -117,6 +122,11 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return add_columns(rows.withColumn("text_key", text_key(F.col("text"))), ["text"], kinds, _digests(size)).drop("text")
 
 
+def fits(a: Column, b: Column) -> Column:
+    """Whether sets of these sizes can be similar enough at all."""
+    return 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
+
+
 def band_rows(classes: DataFrame) -> DataFrame:
     """(band, digest, n): each class under its bands' hashed register values."""
 
@@ -234,10 +244,6 @@ def _rooted(df: DataFrame, name: str, roots: DataFrame) -> DataFrame:
     return df.join(side, F.col(name) == F.col("_node"), "left").withColumn(f"root_{name}", F.coalesce("_root", name)).drop("_node", "_root")
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    return _rooted(_rooted(pairs, "a", roots), "b", roots).where("root_a != root_b").drop("root_a", "root_b")
-
-
 def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node, root for the classes (digest, n, sketch, rep, rep_key) that are linked with another."""
     banded = band_rows(classes)
@@ -245,7 +251,6 @@ def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> Dat
     hub = F.min_by(F.struct("digest", "n"), F.xxhash64("digest", "band"))
     hubs = rows.groupBy("band").agg(hub.alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = cut_lineage(rows.join(hubs.drop("size"), "band"))
-    fits = lambda a, b: 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
     star = (
         members.where((F.col("digest") != F.col("hub.digest")) & fits(F.col("n"), F.col("hub.n")))
         .select(F.col("digest").alias("a"), F.col("hub.digest").alias("b")).distinct()
@@ -253,27 +258,110 @@ def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> Dat
     star = cut_lineage(plausible(star, classes))
     # each class is first compared with the two hubs that are likest; a class has at most one hub a band
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("estimate"), "b"))
-    ranked = star.withColumn("place", place)
+    first = star.withColumn("place", place).where("place <= 2")
     needed = members.select("digest").distinct().join(classes, "digest")
     sets = cut_lineage(class_sets(docs, needed, size))
-    links = cut_lineage(confirmed(ranked.where("place <= 2"), sets))
-    roots = components(links)
-    more = confirmed(_apart(ranked.where("place > 2"), roots), sets)
-    links = cut_lineage(links.unionByName(more))
-    roots = cut_lineage(components(links))
-    # buckets whose members are still in several groups: all pairs between the groups, each in its first common band
-    rest = _rooted(members.select("band", "digest", "n"), "digest", roots).withColumnRenamed("root_digest", "root")
-    split = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band")
-    rest = rest.join(split, "band").join(banded.select("digest", "bands"), "digest")
-    a = rest.select("band", *(F.col(c).alias(f"{c}_a") for c in ("digest", "n", "root", "bands")))
-    b = rest.select("band", *(F.col(c).alias(f"{c}_b") for c in ("digest", "n", "root", "bands")))
+    links = cut_lineage(confirmed(first, sets))
+    pools = cut_lineage(components(star))
+    within = pool_links(pools, components(links), sets)
+    return components(links.unionByName(within).unionByName(between_pools(members, banded, pools, classes, sets)))
+
+
+def pool_links(pools: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links a, b between the linked groups (roots) of each pool (node, root) of likely similar classes.
+
+    The largest group of a pool is its core. Core and other members are cut into blocks of BLOCK classes, and each block
+    of others meets each block of the core and of the others in a task that compares their full sets. Pairs within the
+    core are never made, and no pair leaves the task unless it is a link.
+    """
+    rows = _rooted(pools.select(F.col("root").alias("pool"), F.col("node").alias("digest")), "digest", roots)
+    rows = cut_lineage(rows.withColumnRenamed("root_digest", "root"))
+    sizes = rows.groupBy("pool", "root").agg(F.count("*").alias("size"))
+    cores = sizes.groupBy("pool").agg(
+        F.max_by("root", F.struct("size", "root")).alias("core"), F.max("size").alias("n_core"), F.sum("size").alias("n"),
+    ).where("n > n_core")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    rows = rows.join(cores, "pool").withColumns({
+        "own": F.col("root") == F.col("core"), "core_blocks": blocks(F.col("n_core")), "blocks": blocks(F.col("n") - F.col("n_core")),
+    })
+    own = F.pmod(F.xxhash64("digest"), F.when(F.col("own"), F.col("core_blocks")).otherwise(F.col("blocks"))).cast("int")
+    span = lambda n: F.sequence(F.lit(0), n - 1)
+    meet = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    mine = F.col("block")
+    with_core = F.transform(span(F.col("core_blocks")), lambda i: meet("core", i, mine))
+    with_others = F.transform(span(F.col("blocks")), lambda j: meet("rest", F.least(mine, j), F.greatest(mine, j)))
+    to = F.when(F.col("own"), F.transform(span(F.col("blocks")), lambda j: meet("core", mine, j))).otherwise(F.concat(with_core, with_others))
+    dealt = rows.withColumn("block", own).select("pool", "digest", "root", "block", "own", F.explode(to).alias("at"))
+    dealt = dealt.join(sets, "digest").select("pool", "at", "own", "block", "digest", "root", "shingles")
+    dealt = dealt.repartition("pool", "at").sortWithinPartitions("pool", "at")
+
+    def work(batches):
+        key, held = None, []
+        for columns in batches:
+            for pool, at, *row in zip(*columns, strict=True):
+                if (now := (pool, *at.values())) != key:
+                    if held:
+                        yield _block_links(held, key)
+                    key, held = now, []
+                held.append(row)
+        if held:
+            yield _block_links(held, key)
+
+    return make_rows(dealt, [("a", pa.binary()), ("b", pa.binary())], work)
+
+
+def _block_links(rows: list[list], key: tuple) -> list[list[bytes]]:
+    """Links between the two blocks of one meeting, from rows (own, block, digest, root, shingles)."""
+    _, kind, i, j = key
+    left = [r for r in rows if (r[0] if kind == "core" else r[1] == i)]
+    right = left if kind == "rest" and i == j else [r for r in rows if not (r[0] if kind == "core" else r[1] == i)]
+    if not left or not right:
+        return [[], []]
+    x, y = ([np.frombuffer(r[4], np.uint64) for r in side] for side in (left, right))
+    shared = shared_counts(x, y)
+    nx, ny = (np.array([len(s) for s in side])[:, None] for side in (x, y))
+    hit = 100 * shared >= THRESHOLD * (nx + ny.T - shared)
+    roots = [np.array([r[3] for r in side], dtype=object) for side in (left, right)]
+    hit &= roots[0][:, None] != roots[1][None, :]
+    at = np.argwhere(hit)
+    return [[left[p][2] for p, _ in at], [right[q][2] for _, q in at]]
+
+
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``, ``width`` shared elements at a time."""
+    common = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    counts = np.zeros((len(x), len(y)), dtype=np.int64)
+    for start in range(0, len(common), width):
+        part = common[start : start + width]
+        marks = []
+        for side in (x, y):
+            mark = np.zeros((len(side), len(part)), dtype=np.float32)
+            for row, s in zip(mark, side, strict=True):
+                inside = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], "right")]
+                at = np.searchsorted(part, inside)
+                row[at[part[at] == inside]] = 1
+            marks.append(mark)
+        counts += (marks[0] @ marks[1].T).astype(np.int64)  # whole numbers up to width are exact in float32
+    return counts
+
+
+def between_pools(members: DataFrame, banded: DataFrame, pools: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links a, b of classes in one band bucket whose likeness to the bucket's hub did not bring them into one pool.
+
+    Each pair is made in its first common band only. Members that are like each other have like hubs, so these are the
+    chance meetings of unlike texts, and few.
+    """
+    rest = _rooted(members.select("band", "digest", "n", "hub"), "digest", pools).withColumnRenamed("root_digest", "root")
+    split = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"))
+    # a bucket of two is its hub and one other, which have been compared
+    rest = rest.join(split.where("x != y AND size > 2").select("band"), "band").join(banded.select("digest", "bands"), "digest")
+    side = lambda x: rest.select("band", *(F.col(c).alias(f"{c}_{x}") for c in ("digest", "n", "root", "bands")))
     shared = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    cross = a.join(b, "band").where(
+    cross = side("a").join(side("b"), "band").where(
         (F.col("root_a") < F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")) & (F.get(shared, F.lit(0)) == F.col("band"))
-    ).select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b"))
-    known = star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cross = plausible(cross.join(known, ["a", "b"], "left_anti"), classes)
-    return components(links.unionByName(confirmed(cross, sets)))
+        & (F.size(shared) >= LEAST_BANDS)
+    )
+    return confirmed(plausible(cross.select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")), classes), sets)
 
 
 def groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
