@@ -82,7 +82,8 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
         done = np.isfinite(first).all(axis=1)
         times[todo[done]] = first[done]
         todo, reach = todo[~done], 2 * reach
-    return np.clip(np.floor(1 + OFFSET - np.log(times) / math.log(BASE)), 0, 2**15 - 1).astype(np.uint16)
+    # the low byte is enough: registers of like sets are less than 128 steps, a factor of 500, apart
+    return np.clip(np.floor(1 + OFFSET - np.log(times) / math.log(BASE)), 0, 2**15 - 1).astype(np.uint16).astype(np.uint8)
 
 
 def _digests(size: int):
@@ -132,7 +133,7 @@ def band_rows(classes: DataFrame) -> DataFrame:
 
     def work(batches):
         for digests, counts, found in batches:
-            registers = np.frombuffer(b"".join(found), dtype=np.uint16).reshape(-1, BANDS, ROWS).astype(np.uint64)
+            registers = np.frombuffer(b"".join(found), dtype=np.uint8).reshape(-1, BANDS, ROWS).astype(np.uint64)
             key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), registers.shape[:2])
             for r in range(ROWS):
                 key = mixed(key * np.uint64(65_537) + registers[:, :, r])
@@ -148,7 +149,8 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     With u, v the sizes' shares, a register of the first is larger with chance p(u - v J), smaller with p(v - u J) and
     equal otherwise, where p(x) = -log_b(1 - x (b - 1) / b).
     """
-    more, less = (a > b).sum(axis=1)[:, None], (a < b).sum(axis=1)[:, None]
+    step = (a - b).view(np.int8)
+    more, less = (step > 0).sum(axis=1)[:, None], (step < 0).sum(axis=1)[:, None]
     same = REGISTERS - more - less
     u = (na / (na + nb))[:, None]
     v = 1 - u
@@ -167,7 +169,7 @@ def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def work(batches):
         for a, b, na, nb, sa, sb in batches:
-            at = [np.frombuffer(b"".join(s), dtype=np.uint16).reshape(-1, REGISTERS) for s in (sa, sb)]
+            at = [np.frombuffer(b"".join(s), dtype=np.uint8).reshape(-1, REGISTERS) for s in (sa, sb)]
             best, short = similarity(*at, np.array(na, float), np.array(nb, float))
             keep = np.flatnonzero(short <= LOG_RATIO)
             yield [[a[i] for i in keep], [b[i] for i in keep], best[keep].tolist()]
@@ -247,12 +249,15 @@ def _rooted(df: DataFrame, name: str, roots: DataFrame) -> DataFrame:
 def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node, root for the classes (digest, n, sketch, rep, rep_key) that are linked with another."""
     banded = band_rows(classes)
-    rows = banded.select(F.explode("bands").alias("band"), "digest", "n")
-    hub = F.min_by(F.struct("digest", "n"), F.xxhash64("digest", "band"))
-    hubs = rows.groupBy("band").agg(hub.alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = cut_lineage(rows.join(hubs.drop("size"), "band"))
+    rows = banded.select(F.explode("bands").alias("band"), "digest", "n").withColumn("order", F.xxhash64("digest", "band"))
+    # the hub of a bucket is the class whose hash with the band comes first; counts and hashes alone are grouped
+    met = rows.groupBy("band").agg(F.count("*").alias("size"), F.min("order").alias("first")).where("size > 1")
+    members = cut_lineage(rows.join(met.drop("size"), "band"))
+    hubs = members.where("order = first").select("band", F.struct("digest", "n").alias("hub"))
+    members = members.select("band", "digest", "n")
+    met_hub = members.join(hubs, "band")
     star = (
-        members.where((F.col("digest") != F.col("hub.digest")) & fits(F.col("n"), F.col("hub.n")))
+        met_hub.where((F.col("digest") != F.col("hub.digest")) & fits(F.col("n"), F.col("hub.n")))
         .select(F.col("digest").alias("a"), F.col("hub.digest").alias("b")).distinct()
     )
     star = cut_lineage(plausible(star, classes))
@@ -264,7 +269,7 @@ def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> Dat
     links = cut_lineage(confirmed(first, sets))
     pools = cut_lineage(components(star))
     within = pool_links(pools, components(links), sets)
-    return components(links.unionByName(within).unionByName(between_pools(members, banded, pools, classes, sets)))
+    return components(links.unionByName(within).unionByName(between_pools(members, pools, classes, sets)))
 
 
 def pool_links(pools: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
@@ -345,23 +350,18 @@ def shared_counts(x: list[np.ndarray], y: list[np.ndarray], width: int = 8192) -
     return counts
 
 
-def between_pools(members: DataFrame, banded: DataFrame, pools: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def between_pools(members: DataFrame, pools: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links a, b of classes in one band bucket whose likeness to the bucket's hub did not bring them into one pool.
 
-    Each pair is made in its first common band only. Members that are like each other have like hubs, so these are the
-    chance meetings of unlike texts, and few.
+    Members that are like each other have like hubs, so these are the chance meetings of unlike texts, and few.
     """
-    rest = _rooted(members.select("band", "digest", "n", "hub"), "digest", pools).withColumnRenamed("root_digest", "root")
-    split = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"))
-    # a bucket of two is its hub and one other, which have been compared
-    rest = rest.join(split.where("x != y AND size > 2").select("band"), "band").join(banded.select("digest", "bands"), "digest")
-    side = lambda x: rest.select("band", *(F.col(c).alias(f"{c}_{x}") for c in ("digest", "n", "root", "bands")))
-    shared = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    cross = side("a").join(side("b"), "band").where(
-        (F.col("root_a") < F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")) & (F.get(shared, F.lit(0)) == F.col("band"))
-        & (F.size(shared) >= LEAST_BANDS)
-    )
-    return confirmed(plausible(cross.select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")), classes), sets)
+    rest = _rooted(members, "digest", pools).withColumnRenamed("root_digest", "root")
+    split = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band")
+    rest = rest.join(split, "band")
+    side = lambda x: rest.select("band", *(F.col(c).alias(f"{c}_{x}") for c in ("digest", "n", "root")))
+    met = side("a").join(side("b"), "band").where((F.col("root_a") < F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")))
+    pairs = met.groupBy(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).agg(F.count("*").alias("met"))
+    return confirmed(plausible(pairs.where(F.col("met") >= LEAST_BANDS).select("a", "b"), classes), sets)
 
 
 def groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
