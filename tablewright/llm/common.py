@@ -116,3 +116,10 @@ def word_hashes(word_lists: Sequence[list[bytes]]) -> tuple[np.ndarray, np.ndarr
     flat = np.empty(bounds[-1], dtype=object)
     flat[:] = [w for words in word_lists for w in words]
     return pd.util.hash_array(flat) if len(flat) else np.empty(0, np.uint64), bounds
+
+
+def store(uri: str):
+    """The file system of a folder's address and the path in it, as tasks reach the shared folder."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")

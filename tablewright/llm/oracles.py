@@ -72,3 +72,44 @@ reach AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
 """
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT hex, min(page_id) AS first FROM p GROUP BY hex),
+bits AS (
+  SELECT p.page_id, octet_length(encode(html)) AS payload_bytes, first,
+         [CAST('0x' || substr(p.hex, 5 * k + 1, 5) AS BIGINT) FOR k IN range(8)] AS parts
+  FROM p JOIN f ON f.hex = p.hex)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               ((parts[CAST(floor(j / 4) AS BIGINT) + 1] >> (15 - 5 * (j % 4))) & 31) + 1, 1) FOR j IN range(32)], '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits
+"""
+
+
+def _canonical(text: str) -> str:
+    from tablewright.llm.licenses import COPYRIGHT_LINE, EQUIVALENT, NOT_WORD
+
+    out = f"trim(regexp_replace(regexp_replace(lower({text}), '{COPYRIGHT_LINE}', '', 'g'), '{NOT_WORD}', ' ', 'g'))"
+    for a, b in EQUIVALENT:
+        out = f"replace({out}, '{a}', '{b}')"
+    return out
+
+
+def license_sql(known) -> str:
+    values = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in known)
+    return f"""
+WITH known AS (
+  SELECT {_canonical("t")} AS body, min(license_id) AS license_id FROM (VALUES {values}) AS v(license_id, t) GROUP BY ALL),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, license_id FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  JOIN known ON {_canonical("line")} = body),
+of_doc AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids FROM lines GROUP BY doc_id)
+SELECT d.doc_id, k.license_id, coalesce(n, 0) AS n_license_lines, coalesce(ids, '') AS line_licenses
+FROM d LEFT JOIN known k ON {_canonical("text")} = k.body LEFT JOIN of_doc o ON o.doc_id = d.doc_id
+"""

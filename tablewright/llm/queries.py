@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, mixing, near_duplicates, pii, quality
+from tablewright.llm import decontamination, licenses, mixing, near_duplicates, pii, quality, token_counts, toxicity, warc
 from tablewright.llm.common import table
-from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL
+from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL, WARC_SQL, license_sql
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -25,6 +33,16 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,9 +52,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
+    "op3_license_scan": op3_license_scan,
     "op4_personal_data": op4_personal_data,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_token_counts": op7_token_counts,
+    "op8_warc_round_trip": op8_warc_round_trip,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -44,5 +66,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LLM_ORACLES: dict[str, str] = {
     "op2_source_mixing": MIXING_SQL,
     "op5_benchmark_decontamination": DECONTAMINATION_SQL,
+    "op3_license_scan": license_sql(licenses.KNOWN),
+    "op8_warc_round_trip": WARC_SQL,
     "op9_minhash_near_dedup": NEAR_DUPLICATES_SQL,
 }
