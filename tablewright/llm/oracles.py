@@ -113,3 +113,21 @@ of_doc AS (
 SELECT d.doc_id, k.license_id, coalesce(n, 0) AS n_license_lines, coalesce(ids, '') AS line_licenses
 FROM d LEFT JOIN known k ON {_canonical("text")} = k.body LEFT JOIN of_doc o ON o.doc_id = d.doc_id
 """
+
+SUBSTRINGS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS h
+  FROM (SELECT *, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN twice USING (h)),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+  FROM placed ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

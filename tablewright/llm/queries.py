@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, licenses, mixing, near_duplicates, pii, quality, token_counts, toxicity, warc
+from tablewright.llm import decontamination, licenses, mixing, near_duplicates, pii, quality, substrings, token_counts, toxicity, warc
 from tablewright.llm.common import table
-from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL, WARC_SQL, license_sql
+from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL, SUBSTRINGS_SQL, WARC_SQL, license_sql
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_personal_data": op4_personal_data,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_warc_round_trip": op8_warc_round_trip,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
@@ -67,6 +72,7 @@ LLM_ORACLES: dict[str, str] = {
     "op2_source_mixing": MIXING_SQL,
     "op5_benchmark_decontamination": DECONTAMINATION_SQL,
     "op3_license_scan": license_sql(licenses.KNOWN),
+    "op6_substring_dedup": SUBSTRINGS_SQL,
     "op8_warc_round_trip": WARC_SQL,
     "op9_minhash_near_dedup": NEAR_DUPLICATES_SQL,
 }
