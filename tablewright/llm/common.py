@@ -85,7 +85,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def chunks(texts: Sequence[str | None], limit: int = 4_000_000):
+def chunks(texts: Sequence[str | None], limit: int = 2_000_000):
     """(start, end) of runs of texts with about ``limit`` characters, or one longer text, each."""
     start, size = 0, 0
     for i, t in enumerate(texts):

@@ -36,6 +36,8 @@ LOG_RATIO = 20.0
 #: Bands that classes of different pools share before they are compared: at the threshold 17.6 are expected, and fewer
 #: than 3 come with a chance of one in ten million.
 LEAST_BANDS = 3
+#: Edges that a task of the component search reads, about 5 MB.
+EDGES_PER_TASK = 50_000
 #: Classes in a block that is compared with another block at once.
 BLOCK = 256
 
@@ -222,12 +224,16 @@ def components(edges: DataFrame) -> DataFrame:
     def mark(df):
         return df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
 
+    def gathered(df, rows):  # no more partitions than the rows are worth
+        return df.coalesce(max(1, min(df.rdd.getNumPartitions(), rows // EDGES_PER_TASK + 1)))
+
     now = cut_lineage(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = mark(now)
     while before[0]:
+        now = gathered(now, before[0])
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = cut_lineage(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
@@ -268,27 +274,31 @@ def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> Dat
     sets = cut_lineage(class_sets(docs, needed, size))
     links = cut_lineage(confirmed(first, sets))
     pools = cut_lineage(components(star))
-    within = pool_links(pools, components(links), sets)
+    within = pool_links(pools, links, sets)
     return components(links.unionByName(within).unionByName(between_pools(members, pools, classes, sets)))
 
 
-def pool_links(pools: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links a, b between the linked groups (roots) of each pool (node, root) of likely similar classes.
+def pool_links(pools: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links a, b that join the members of each pool (node, root) of likely similar classes as far as they are linked.
 
-    The largest group of a pool is its core. Core and other members are cut into blocks of BLOCK classes, and each block
-    of others meets each block of the core and of the others in a task that compares their full sets. Pairs within the
-    core are never made, and no pair leaves the task unless it is a link.
+    The core of a pool is the hub with the most links (member a, hub b) and the classes that are linked with it. Core and
+    other members are cut into blocks of BLOCK classes, and each block of others meets each block of the core and of the
+    others in a task that compares their full sets. Pairs within the core are never made, and of each meeting's links
+    only a forest leaves the task, so rows grow with the members and not with their pairs.
     """
-    rows = _rooted(pools.select(F.col("root").alias("pool"), F.col("node").alias("digest")), "digest", roots)
-    rows = cut_lineage(rows.withColumnRenamed("root_digest", "root"))
-    sizes = rows.groupBy("pool", "root").agg(F.count("*").alias("size"))
-    cores = sizes.groupBy("pool").agg(
-        F.max_by("root", F.struct("size", "root")).alias("core"), F.max("size").alias("n_core"), F.sum("size").alias("n"),
-    ).where("n > n_core")
+    rows = pools.select(F.col("root").alias("pool"), F.col("node").alias("digest"))
+    degree = links.groupBy(F.col("b").alias("digest")).agg(F.count("*").alias("degree"))
+    # a pool without links is all others: its core is its least member alone
+    hubs = rows.join(degree, "digest", "left").groupBy("pool").agg(
+        F.max_by("digest", F.struct(F.coalesce("degree", F.lit(0)), "digest")).alias("hub"), F.count("*").alias("n")
+    ).where("n > 1")
+    near = links.select(F.col("a").alias("digest"), F.col("b").alias("hub")).distinct().withColumn("near", F.lit(True))
+    rows = rows.join(hubs, "pool").join(near, ["digest", "hub"], "left")
+    rows = cut_lineage(rows.withColumn("own", F.coalesce("near", F.lit(False)) | (F.col("digest") == F.col("hub"))).drop("near"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    rows = rows.join(cores, "pool").withColumns({
-        "own": F.col("root") == F.col("core"), "core_blocks": blocks(F.col("n_core")), "blocks": blocks(F.col("n") - F.col("n_core")),
-    })
+    sizes = rows.groupBy("pool").agg(
+        blocks(F.count_if("own")).alias("core_blocks"), blocks(F.count_if(~F.col("own"))).alias("blocks")
+    ).where("blocks > 0")
     own = F.pmod(F.xxhash64("digest"), F.when(F.col("own"), F.col("core_blocks")).otherwise(F.col("blocks"))).cast("int")
     span = lambda n: F.sequence(F.lit(0), n - 1)
     meet = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
@@ -296,8 +306,8 @@ def pool_links(pools: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame
     with_core = F.transform(span(F.col("core_blocks")), lambda i: meet("core", i, mine))
     with_others = F.transform(span(F.col("blocks")), lambda j: meet("rest", F.least(mine, j), F.greatest(mine, j)))
     to = F.when(F.col("own"), F.transform(span(F.col("blocks")), lambda j: meet("core", mine, j))).otherwise(F.concat(with_core, with_others))
-    dealt = rows.withColumn("block", own).select("pool", "digest", "root", "block", "own", F.explode(to).alias("at"))
-    dealt = dealt.join(sets, "digest").select("pool", "at", "own", "block", "digest", "root", "shingles")
+    dealt = rows.join(sizes, "pool").withColumn("block", own).select("pool", "digest", "block", "own", F.explode(to).alias("at"))
+    dealt = dealt.join(sets, "digest").select("pool", "at", "own", "block", "digest", "shingles")
     dealt = dealt.repartition("pool", "at").sortWithinPartitions("pool", "at")
 
     def work(batches):
@@ -316,20 +326,36 @@ def pool_links(pools: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame
 
 
 def _block_links(rows: list[list], key: tuple) -> list[list[bytes]]:
-    """Links between the two blocks of one meeting, from rows (own, block, digest, root, shingles)."""
-    _, kind, i, j = key
+    """A forest of the links between the two blocks of one meeting, from rows (own, block, digest, shingles).
+
+    The members of a core are linked with each other already, so one link with it is enough for each of the others.
+    """
+    _, kind, i, _ = key
     left = [r for r in rows if (r[0] if kind == "core" else r[1] == i)]
-    right = left if kind == "rest" and i == j else [r for r in rows if not (r[0] if kind == "core" else r[1] == i)]
+    right = [r for r in rows if not (r[0] if kind == "core" else r[1] == i)] or (left if kind == "rest" else [])
     if not left or not right:
         return [[], []]
-    x, y = ([np.frombuffer(r[4], np.uint64) for r in side] for side in (left, right))
+    x, y = ([np.frombuffer(r[3], np.uint64) for r in side] for side in (left, right))
     shared = shared_counts(x, y)
     nx, ny = (np.array([len(s) for s in side])[:, None] for side in (x, y))
     hit = 100 * shared >= THRESHOLD * (nx + ny.T - shared)
-    roots = [np.array([r[3] for r in side], dtype=object) for side in (left, right)]
-    hit &= roots[0][:, None] != roots[1][None, :]
-    at = np.argwhere(hit)
-    return [[left[p][2] for p, _ in at], [right[q][2] for _, q in at]]
+    if kind == "core":
+        at = np.flatnonzero(hit.any(axis=0))
+        return [[left[p][2] for p in hit.argmax(axis=0)[at]], [right[q][2] for q in at]]
+    parent: dict[bytes, bytes] = {}
+
+    def top(node: bytes) -> bytes:
+        while (up := parent.get(node, node)) != node:
+            parent[node] = node = parent.get(up, up)
+        return node
+
+    forest = []
+    for p, q in np.argwhere(hit):
+        a, b = left[p][2], right[q][2]
+        if (ra := top(a)) != (rb := top(b)):
+            parent[ra] = rb
+            forest.append((a, b))
+    return [[a for a, _ in forest], [b for _, b in forest]]
 
 
 def shared_counts(x: list[np.ndarray], y: list[np.ndarray], width: int = 8192) -> np.ndarray:

@@ -24,8 +24,8 @@ from tablewright.session import cut_lineage
 
 WINDOW = 35
 PREFIX = 8
-#: Suffixes of one prefix that a task sorts at once, about 30 MB.
-GROUP = 2000
+#: Suffixes of one prefix that a task holds at once, about 10 MB.
+GROUP = 20_000
 #: Suffixes of whole small groups that are sorted together.
 BATCH = 4000
 
@@ -99,15 +99,16 @@ def _text_key():
 
 
 def shared_places(rows: DataFrame, group: int = GROUP) -> DataFrame:
-    """digest, places: where a text's least grams occur elsewhere too; places of large groups as -1 - place."""
+    """key, places: where a text's least grams occur elsewhere too; places of large groups as -1 - place."""
     pairs = F.explode(F.arrays_zip("grams", "places"))
-    marks = rows.select("digest", pairs.alias("m")).select(
-        F.col("m.grams").alias("gram"), "digest", F.col("m.places").alias("place")
-    ).withColumn("one", F.xxhash64("digest", "place"))
+    # eight bytes of a text's digest do here: texts that share them would only look at some more places
+    marks = rows.select(F.xxhash64("digest").alias("key"), pairs.alias("m")).select(
+        F.col("m.grams").alias("gram"), "key", F.col("m.places").alias("place")
+    ).withColumn("one", F.xxhash64("key", "place"))
     met = marks.groupBy("gram").agg(F.count("*").alias("n"), F.min("one").alias("x"), F.max("one").alias("y"))
     met = met.where("x != y").select("gram", (F.col("n") > group).alias("large"))
     place = F.when(F.col("large"), -1 - F.col("place")).otherwise(F.col("place"))
-    return marks.select("gram", "digest", "place").join(met, "gram").groupBy("digest").agg(F.collect_set(place).alias("places"))
+    return marks.select("gram", "key", "place").join(met, "gram").groupBy("key").agg(F.collect_set(place).alias("places"))
 
 
 def _runs(hashes: np.ndarray, places: list[int]):
@@ -179,19 +180,21 @@ def deep_nodes(rows: list[tuple]) -> list[list]:
     rows = list({(r[1], r[2]): r for r in rows}.values())
     content = np.frombuffer(b"".join(r[5] for r in rows), dtype=">u4").reshape(len(rows), -1)
     far, near = (np.array([r[i] for r in rows]) for i in (3, 4))
-    n = far - near + 1
-    member = np.repeat(np.arange(len(rows)), n)
-    offset = np.repeat(far, n) - (np.arange(len(member)) - np.repeat(np.cumsum(n) - n, n))
-    first = WINDOW - PREFIX - offset
-    leaves = np.ascontiguousarray(content[member[:, None], first[:, None] + np.arange(WINDOW)])
-    order = np.argsort(leaves.view(f"V{4 * WINDOW}").ravel(), kind="stable")
-    same = leaves[order]
-    deep = (same[1:] == same[:-1]).all(axis=1)
-    hit = np.zeros(len(order), dtype=bool)
-    hit[order[1:][deep]] = True
-    hit[order[:-1][deep]] = True
     places = np.array([r[2] for r in rows])
-    member, start = member[hit], (places[member] - offset)[hit]
+    member, start = [], []
+    for offset in range(int(near.min()), int(far.max()) + 1):  # equal windows have their least gram at one offset
+        these = np.flatnonzero((near <= offset) & (offset <= far))
+        first = WINDOW - PREFIX - offset
+        leaves = np.ascontiguousarray(content[these, first : first + WINDOW])
+        order = np.argsort(leaves.view(f"V{4 * WINDOW}").ravel(), kind="stable")
+        same = leaves[order]
+        deep = (same[1:] == same[:-1]).all(axis=1)
+        hit = np.unique(np.concatenate([order[1:][deep], order[:-1][deep]]))
+        member.append(these[hit])
+        start.append(places[these[hit]] - offset)
+    member, start = np.concatenate(member), np.concatenate(start)
+    order = np.lexsort((start, member))
+    member, start = member[order], start[order]
     if not len(member):
         return [[], [], []]
     # a member's windows come in order: consecutive ones are one repeat
@@ -227,7 +230,7 @@ def large_repeats(texts: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(digest, spans: its repeats in words, overlapping ones not merged; digest, text of the texts that were looked at)."""
     places = shared_places(rows)
-    wanted = places.join(classes.select("digest", "rep", "rep_key"), "digest")
+    wanted = places.join(classes.select(F.xxhash64("digest").alias("key"), "digest", "rep", "rep_key"), "key")
     bodies = docs.select(col("doc_id"), col("text").cast("string").alias("text")).withColumn("text_key", _text_key())
     texts = cut_lineage(
         bodies.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key")))
