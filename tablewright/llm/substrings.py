@@ -13,6 +13,7 @@ Texts with equal words are one text with a number of copies; where that is two o
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ GROUP = 20_000
 #: Suffixes of whole small groups that are sorted together.
 BATCH = 4000
 
+#: Compressed bytes of the texts that a task takes apart at once.
+PACKED = 500_000
+
 _GRAMS = WINDOW - PREFIX + 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,10 +58,13 @@ def _split(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def _hash_lists(texts: list[str | None]):
-    lists = [_split(t) for t in texts]
+def _unpacked(bodies: list[bytes]) -> list[list[bytes]]:
+    return [zlib.decompress(b).split() for b in bodies]
+
+
+def _hash_lists(lists: list[list[bytes]]):
     flat, at = word_hashes(lists)
-    return lists, [flat[at[i] : at[i + 1]] for i in range(len(texts))]
+    return lists, [flat[at[i] : at[i + 1]] for i in range(len(lists))]
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -72,7 +79,7 @@ def described(docs: DataFrame) -> DataFrame:
         def work(texts):
             out = []
             for a, b in chunks(texts):
-                for words, hashes in zip(*_hash_lists(texts[a:b]), strict=True):
+                for words, hashes in zip(*_hash_lists([_split(t) for t in texts[a:b]]), strict=True):
                     joined = b" ".join(words)
                     digest = hashlib.blake2b(joined, digest_size=16).digest()
                     grams, places = [], []
@@ -129,9 +136,9 @@ def suffixes(texts: DataFrame) -> DataFrame:
 
     def work(batches):
         for digests, bodies, wanted in batches:
-            for a, b in chunks(bodies):
+            for a, b in chunks(bodies, PACKED):
                 rows = []
-                for digest, hashes, places in zip(digests[a:b], _hash_lists(bodies[a:b])[1], wanted[a:b], strict=True):
+                for digest, hashes, places in zip(digests[a:b], _hash_lists(_unpacked(bodies[a:b]))[1], wanted[a:b], strict=True):
                     at, first, last = _runs(hashes, [p for p in places if p >= 0])
                     if not len(at):
                         continue
@@ -149,7 +156,7 @@ def suffixes(texts: DataFrame) -> DataFrame:
         ("gram", pa.int64()), ("digest", pa.binary()), ("place", pa.int32()), ("far", pa.int32()), ("near", pa.int32()),
         ("words", pa.binary()),
     ]
-    return make_rows(texts.select("digest", "text", "places"), kinds, work)
+    return make_rows(texts.select("digest", "body", "places"), kinds, work)
 
 
 def tree_repeats(found: DataFrame) -> DataFrame:
@@ -209,9 +216,9 @@ def large_repeats(texts: DataFrame) -> DataFrame:
 
     def work(batches):
         for digests, bodies, wanted in batches:
-            for a, b in chunks(bodies):
+            for a, b in chunks(bodies, PACKED):
                 keys, of, starts = [], [], []
-                for digest, hashes, places in zip(digests[a:b], _hash_lists(bodies[a:b])[1], wanted[a:b], strict=True):
+                for digest, hashes, places in zip(digests[a:b], _hash_lists(_unpacked(bodies[a:b]))[1], wanted[a:b], strict=True):
                     _, first, last = _runs(hashes, [-1 - p for p in places if p < 0])
                     if len(first):
                         windows = np.concatenate([np.arange(x, y + 1) for x, y in zip(first, last, strict=True)])
@@ -220,7 +227,7 @@ def large_repeats(texts: DataFrame) -> DataFrame:
                         starts += windows.tolist()
                 yield [keys, of, starts]
 
-    wide = texts.where(F.exists("places", lambda p: p < 0)).select("digest", "text", "places")
+    wide = texts.where(F.exists("places", lambda p: p < 0)).select("digest", "body", "places")
     rows = make_rows(wide, [("window", pa.int64()), ("digest", pa.binary()), ("start", pa.int32())], work)
     rows = rows.withColumn("one", F.xxhash64("digest", "start"))
     met = rows.groupBy("window").agg(F.min("one").alias("x"), F.max("one").alias("y")).where("x != y").select("window")
@@ -228,25 +235,28 @@ def large_repeats(texts: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(digest, spans: its repeats in words, overlapping ones not merged; digest, text of the texts that were looked at)."""
+    """(digest, spans: its repeats in words, overlapping ones not merged; digest, body of the texts that were looked at)."""
     places = shared_places(rows)
     wanted = places.join(classes.select(F.xxhash64("digest").alias("key"), "digest", "rep", "rep_key"), "key")
     bodies = docs.select(col("doc_id"), col("text").cast("string").alias("text")).withColumn("text_key", _text_key())
-    texts = cut_lineage(
-        bodies.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key")))
-        .select("digest", "text", "places")
-    )
+    joined = bodies.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key")))
+    texts = cut_lineage(add_columns(joined.select("digest", "text", "places"), ["text"], [("body", pa.binary())], _packed).drop("text"))
     found = tree_repeats(suffixes(texts)).unionByName(large_repeats(texts))
     spans = found.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return spans, texts.select("digest", "text")
+    return spans, texts.select("digest", "body")
+
+
+def _packed():
+    """Texts that are written out between passes are compressed."""
+    return lambda texts: [[zlib.compress((t or "").encode(), 1) for t in texts]]
 
 
 def _removed():
     def make():
-        def work(texts, found):
+        def work(bodies, found):
             n, shas = [], []
-            for text, spans in zip(texts, found, strict=True):
-                words = _split(text)
+            for body, spans in zip(bodies, found, strict=True):
+                words = zlib.decompress(body).split()
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 np.add.at(gone, [s["start"] for s in spans], 1)
                 np.add.at(gone, [s["end"] for s in spans], -1)
@@ -275,7 +285,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spans, texts = repeats(docs, rows, classes)
     single = spans.join(classes.where("copies = 1").select("digest"), "digest", "left_semi")
     kinds = [("removed", pa.int64()), ("kept", pa.string())]
-    partly = add_columns(texts.join(single, "digest"), ["text", "spans"], kinds, _removed()).select("digest", "removed", "kept")
+    partly = add_columns(texts.join(single, "digest"), ["body", "spans"], kinds, _removed()).select("digest", "removed", "kept")
     wholly = classes.where("copies > 1").select("digest", F.lit(-1).cast("long").alias("removed"), F.sha2(F.lit(""), 256).alias("kept"))
     out = rows.select("doc_id", "n_words", "digest", "full_sha256").join(partly.unionByName(wholly), "digest", "left")
     return out.select(
