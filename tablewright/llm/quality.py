@@ -210,8 +210,16 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that ``assess`` keeps, with their own columns only.
 
-    Texts are measured twice, for the cutoffs and for the verdict; that costs less than to shuffle or store them.
+    The verdicts are written out by id and a hash of text and language, and meet the documents by these; a filter on the
+    measures themselves would be pushed below them and work them out again for every reference.
     """
-    found, names = measured(docs)
-    judged, kept = judge(found, _learned(found, labels, names), names)
-    return judged.where(col(kept)).drop(*names.values(), kept)
+    at, key = fresh(docs, "kept_id", "kept_key")
+    same = F.xxhash64(F.coalesce(col("text").cast("string"), F.lit("")), F.coalesce(col("lang"), F.lit("")))
+    found, names = measured(docs.select("doc_id", "text", "lang").withColumn(key, same))
+    rows = cut_lineage(found.drop("text"))
+    judged, kept = judge(rows, _learned(rows, labels, names), names)
+    wanted = judged.where(col(kept)).select(col("doc_id").alias(at), col(key))
+    keyed = docs.withColumn(key, same).alias("d")
+    wanted = wanted.select(col(at), col(key).alias(f"{key}_"))
+    out = keyed.join(wanted, col("doc_id").eqNullSafe(col(at)) & (col(key) == col(f"{key}_")), "left_semi")
+    return out.drop(key)
