@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +30,8 @@ def running_by_bucket(
 
     ``bucket`` must be non-null and must grow with ``order`` inside a key (a day,
     a block of turns). Rows are sorted only inside one (key, bucket); what lies
-    before a bucket comes from the bucket totals, which are pre-aggregated. Keys
-    must be non-null.
+    before a bucket comes from the bucket totals, which are pre-aggregated. A null
+    key is a key like any other.
     """
     sums = sums or {}
     tagged = df.withColumn("__bucket", bucket)
@@ -41,7 +43,7 @@ def running_by_bucket(
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group,
+        *[F.col(c).alias(f"__of_{c}") for c in group],
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows_before"),
         *[
             F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}")
@@ -51,7 +53,8 @@ def running_by_bucket(
     )
     inside = Window.partitionBy(*group).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = tagged.join(offsets, group)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in group])
+    out = tagged.join(offsets, same)
     added = [total] if total else []
     if row_number:
         out = out.withColumn(row_number, F.row_number().over(inside) + F.col("__rows_before"))

@@ -27,14 +27,14 @@ def holds_items(text: Column, removed: Sequence[str]) -> Column:
 
 
 def clean_orders(raw: DataFrame, removed: Sequence[str] = ()) -> DataFrame:
-    """Baskets with a per-user order number, 1 = earliest; equal times by order id."""
+    """Baskets with a per-user order number, 1 = earliest; equal times by order id. A malformed time is null and comes first."""
     day = F.coalesce(F.to_date("order_timestamp"), F.lit("0001-01-01").cast("date"))
     baskets = (
         raw.where(holds_items(F.col("order_products"), removed)).select(
             "mpid",
             "order_id",
             without_items(split_items(F.col("order_products")), removed).alias("order_product_list"),
-            F.to_timestamp("order_timestamp").alias("order_timestamp"),
+            F.try_to_timestamp("order_timestamp").alias("order_timestamp"),
         )
     )
     numbered = running_by_bucket(

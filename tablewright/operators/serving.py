@@ -55,11 +55,11 @@ def turn_profile(messages: DataFrame, block: int = 4096) -> DataFrame:
     """Tokens of each answer and of all that was said before it, per conversation and turn.
 
     ``messages`` holds conv_id, turn, role and text; a token is a word. Long
-    conversations are summed by blocks of turns.
+    conversations are summed by blocks of turns. A null turn comes before all others.
     """
     counted = messages.select("conv_id", "turn", "role", word_count("text").alias("tokens"))
     running = running_by_bucket(
-        counted, ["conv_id"], ["turn"], F.floor(F.col("turn") / block), sums={"upto": "tokens"}
+        counted, ["conv_id"], ["turn"], F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)), sums={"upto": "tokens"}
     )
     return running.where(F.col("role") == "assistant").select(
         "conv_id", "turn", (F.col("upto") - F.col("tokens")).alias("input_tokens"),
@@ -208,7 +208,7 @@ def capacity_ceiling(requests: DataFrame, limits: DataFrame) -> DataFrame:
 
 def frontier_qpm(n_in: Column, n_out: Column, itpm: float, otpm: float) -> Column:
     """Queries per minute on the straight line between the two token limits."""
-    return 1 / (n_in / itpm + n_out / otpm)
+    return F.try_divide(F.lit(1.0), n_in / itpm + n_out / otpm)
 
 
 def combined_qpm(
@@ -216,15 +216,22 @@ def combined_qpm(
 ) -> Column:
     """Queries per minute with an overflow tier on top of provisioned capacity.
 
-    The frontier has two straight parts that meet where the overflow's input
-    limit is used up; the workload is a ray from the origin.
+    What both tiers bear together is bounded by one line for each tier: its own
+    trade of input for output, with all that the other tier adds. Capacity is the
+    smaller of the two; requests without tokens have none.
     """
-    (p_in, p_out), (o_in, o_out) = provisioned, overflow
-    slope = n_out / n_in
-    flat = (p_out + o_out) / (slope + o_out / o_in)
-    steep = -p_out / p_in
-    beyond = (p_out - steep * o_in) / (slope - steep)
-    return F.when(flat <= o_in, flat).otherwise(beyond) / n_in
+    tiers = (provisioned, overflow)
+    bounds = []
+    for own_in, own_out in tiers:
+        trade = own_out / own_in  # output tokens given up for an input token
+        budget = max(trade * i + o for i, o in corners(*tiers))
+        bounds.append(F.try_divide(F.lit(float(budget)), n_out + trade * n_in))
+    return F.least(*bounds)
+
+
+def corners(a: tuple[float, float], b: tuple[float, float]) -> list[tuple[float, float]]:
+    """The corners of two tiers' joint frontier: each tier spends all on input or all on output."""
+    return [(i * a[0] + j * b[0], (1 - i) * a[1] + (1 - j) * b[1]) for i in (0, 1) for j in (0, 1)]
 
 
 def with_frontiers(requests: DataFrame) -> DataFrame:

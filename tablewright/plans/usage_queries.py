@@ -119,6 +119,13 @@ def _(spark, sf):
     return roles.turns(spark, sf)
 
 
+@query("turn_profile_null_keys", f"WITH {WORDS.replace('FROM conversations', 'FROM (SELECT * REPLACE (nullif(conv_id % 50, 0) AS conv_id) FROM conversations)').replace('BY turn)', 'BY turn NULLS FIRST RANGE UNBOUNDED PRECEDING)')} SELECT conv_id, count(*) AS answers FROM profile GROUP BY 1")
+def _(spark, sf):
+    key = F.col("conv_id") % 50
+    rows = roles.table(spark, sf, "conversations").withColumn("conv_id", F.when(key != 0, key))
+    return serving.turn_profile(rows).groupBy("conv_id").agg(F.count("*").alias("answers"))
+
+
 SUMMARY = """SELECT {name} AS metric, max(n) AS n, round(avg(v), 2) AS avg,
   round(max(CASE WHEN i = least(floor(n * 50 / 100)::BIGINT, n - 1) THEN v END), 2) AS p50,
   round(max(CASE WHEN i = least(floor(n * 75 / 100)::BIGINT, n - 1) THEN v END), 2) AS p75,
@@ -301,13 +308,12 @@ def _(spark, sf):
     return rows.withColumn("max_qpm", F.round("max_qpm", 6))
 
 
-@query("frontier_qpm", f"""WITH {WORDS}, r AS (SELECT *, input_tokens::DOUBLE AS i, output_tokens::DOUBLE AS o,
-  output_tokens::DOUBLE / input_tokens AS slope FROM profile WHERE input_tokens > 0)
-SELECT conv_id, turn, round(1 / (i / 400000 + o / 100000), 6) AS qpm_1x, round(1 / (i / 800000 + o / 200000), 6) AS qpm_2x,
-  round(CASE WHEN 210000 / (slope + 0.05::DOUBLE) <= 200000 THEN 210000 / (slope + 0.05::DOUBLE)
-    ELSE 250000 / (slope + 0.25::DOUBLE) END / i, 6) AS qpm_combined FROM r""")
+@query("frontier_qpm", f"""WITH {WORDS}, r AS (SELECT *, input_tokens::DOUBLE AS i, output_tokens::DOUBLE AS o FROM profile)
+SELECT conv_id, turn, round(1 / nullif(i / 400000 + o / 100000, 0), 6) AS qpm_1x,
+  round(1 / nullif(i / 800000 + o / 200000, 0), 6) AS qpm_2x,
+  round(least(210000 / nullif(o + i * 0.05::DOUBLE, 0), 250000 / nullif(o + i * 0.25::DOUBLE, 0)), 6) AS qpm_combined FROM r""")
 def _(spark, sf):
-    rows = serving.with_frontiers(roles.turns(spark, sf).where(F.col("input_tokens") > 0))
+    rows = serving.with_frontiers(roles.turns(spark, sf))
     return rows.select("conv_id", "turn", *[F.round(c, 6).alias(c) for c in ("qpm_1x", "qpm_2x", "qpm_combined")])
 
 
