@@ -39,7 +39,7 @@ _card = re.compile(r"[0-9](?:[ -]?[0-9])+").match
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").match
 _user_address = re.compile(r"[^\s/?#@<>\"']{1,256}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]{1,5})?(?:/[^\s<>\"']*)?").match
 _joint = re.compile(r"(?:[ \t]{0,4}(?:number|num\.?|no\.?|nr\.?|id|is|:|#|=|-)){0,4}[ \t]{0,4}", re.I).match
-_iban = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])").match
+_iban = re.compile(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])").match
 _account = re.compile(r"[0-9](?:[ -]?[0-9]){5,16}(?![0-9A-Za-z])").match
 
 

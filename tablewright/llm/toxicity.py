@@ -117,8 +117,8 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, see
     labels = np.asarray(labels, dtype=np.int64)
     model = Model(rng.normal(0, 0.1, (DIM, BUCKETS)), rng.normal(0, 0.5, (DIM, 2)), np.zeros(2))
     share = float(labels.mean()) if len(labels) else 0.0
-    corpus = Corpus(texts)
-    if not 0 < share < 1 or not len(corpus.ids):
+    corpus = Corpus(texts) if 0 < share < 1 else None
+    if corpus is None or not len(corpus.ids):
         model.embeddings[:] = 0
         model.shift = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return model
