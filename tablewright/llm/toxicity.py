@@ -10,6 +10,7 @@ spans of each document, for toxic and clean documents alike, while embeddings an
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import add_columns, chunks, col, mixed
+from tablewright.llm.common import add_columns, chunks, col, make_rows, mixed
 
 BUCKETS = 2**17
 DIM = 12
@@ -26,7 +27,7 @@ DIM = 12
 SPAN = 1
 SIZES = (3, 4, 5)
 #: The training sample: at most so many labelled documents of each class, by hash, of texts up to so many characters.
-MAX_PER_CLASS = 1500
+MAX_PER_CLASS = 1000
 MAX_CHARS = 20_000
 EPOCHS = 40
 #: Step size, weight decay, and the slope below which steps shrink, so that chance n-grams stay small.
@@ -64,7 +65,7 @@ def ngrams(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def means(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Means of runs of rows; every run has a row."""
-    return np.add.reduceat(values, starts[:-1], axis=0) / np.diff(starts).reshape(-1, *[1] * (values.ndim - 1))
+    return np.add.reduceat(values, starts[:-1], axis=0) / np.diff(starts).astype(np.float32).reshape(-1, *[1] * (values.ndim - 1))
 
 
 @dataclass
@@ -115,7 +116,7 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, see
     """Fit embeddings, weights and the calibration of the top span's score. Without both labels, scores are the label's share."""
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, dtype=np.int64)
-    model = Model(rng.normal(0, 0.1, (DIM, BUCKETS)), rng.normal(0, 0.5, (DIM, 2)), np.zeros(2))
+    model = Model(rng.normal(0, 0.1, (DIM, BUCKETS)).astype(np.float32), rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32))
     share = float(labels.mean()) if len(labels) else 0.0
     corpus = Corpus(texts) if 0 < share < 1 else None
     if corpus is None or not len(corpus.ids):
@@ -147,8 +148,8 @@ def train(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS, see
         z = x @ model.weights + model.bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        error = (p - np.eye(2)[labels[corpus.doc[used]]]) * weight[:, None] / n_docs
-        to_span = error @ model.weights.T / lengths[:, None]
+        error = ((p - np.eye(2, dtype=np.float32)[labels[corpus.doc[used]]]) * weight[:, None] / n_docs).astype(np.float32)
+        to_span = error @ model.weights.T / lengths[:, None].astype(np.float32)
         spread = np.repeat(to_span, lengths, axis=0)
         slope = np.zeros_like(model.embeddings)  # row by row, as all n-grams times all dimensions would not fit
         for d in range(DIM):
@@ -195,8 +196,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
     sample = docs.select(col("doc_id"), col("text").cast("string").alias("text")).where(F.length("text") <= max_chars).join(
         F.broadcast(chosen[0].unionByName(chosen[1])), F.col("doc_id") == F.col("label_id")
     ).dropDuplicates(["label_id"]).orderBy(order, "label_id").limit(2 * max_per_class)
-    rows = sample.select("text", "toxic").toPandas()
-    return train(rows["text"].tolist(), rows["toxic"].to_numpy(), seed=seed)
+
+    def work(batches):
+        texts, toxic = [], []
+        for columns in batches:
+            texts += columns[0]
+            toxic += columns[1]
+        yield [[pickle.dumps(train(texts, np.array(toxic, dtype=np.int64), seed=seed))]]
+
+    # one task reads the bounded sample and gives back the model, 6 MB
+    return pickle.loads(make_rows(sample.select("text", "toxic").coalesce(1), [("model", pa.binary())], work).first()["model"])
 
 
 def held_out(doc_id: Column) -> Column:
