@@ -202,10 +202,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
         for columns in batches:
             texts += columns[0]
             toxic += columns[1]
-        yield [[pickle.dumps(train(texts, np.array(toxic, dtype=np.int64), seed=seed))]]
+        m = train(texts, np.array(toxic, dtype=np.int64), seed=seed)
+        yield [[pickle.dumps((m.embeddings, m.weights, m.bias, m.scale, m.shift))]]
 
     # one task reads the bounded sample and gives back the model, 6 MB
-    return pickle.loads(make_rows(sample.select("text", "toxic").coalesce(1), [("model", pa.binary())], work).first()["model"])
+    row = make_rows(sample.select("text", "toxic").coalesce(1), [("model", pa.binary())], work).first()
+    return Model(*pickle.loads(row["model"])) if row else train([], np.empty(0, np.int64))
 
 
 def held_out(doc_id: Column) -> Column:
