@@ -4,7 +4,7 @@ The table lies in Parquet folders, one per version and hash bucket of the key,
 next to a small table of pointers that says which version of each bucket is in
 force. A batch rewrites only the buckets it touches. A version counts once its
 pointers are there, so a reader never sees half of one, and a batch that runs
-again after a failure writes the same version again.
+again after a failure leaves the same rows.
 """
 
 from __future__ import annotations
@@ -134,12 +134,15 @@ def triggered_sync(
     """Apply arrived changes to the table; it keeps the bucket count it was published with.
 
     The stream holds the table's columns and ``change_type``; the last change of
-    a key by ``order`` wins. Batch n always writes version n + 1 from what came before.
+    a key by ``order`` wins. Each batch writes the version after the newest one, whatever its
+    number in the stream, so that a stream with a new checkpoint builds on what others wrote.
+    A batch that runs again sets the same rows again. One stream at a time may write a table.
     """
     spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        pointers = pointers_in_force(spark, target, at_most=batch_id)
+        pointers = pointers_in_force(spark, target)
+        version = max((p["version"] for p in pointers), default=0) + 1
         count = pointers[0]["buckets"] if pointers else buckets
         changes = newest_per_key(batch, keys, order).persist()
         try:
@@ -150,7 +153,7 @@ def triggered_sync(
                 columns = [c for c in batch.columns if c != "change_type"]
                 current = spark.createDataFrame([], batch.select(*columns).schema)
             merged = apply_changes(current, changes, keys)
-            write_version(merged, target, batch_id + 1, keys, count, touched, splits)
+            write_version(merged, target, version, keys, count, touched, splits)
         finally:
             changes.unpersist()
 

@@ -60,6 +60,16 @@ def test_sync_equals_batch_and_survives_a_rerun(spark, tmp_path):
     assert {tuple(r) for r in sync.read_snapshot(spark, target).collect()} == {(1, "AA", 2), (3, "c", 1), (4, "d", 1)}
 
 
+def test_a_stream_with_a_new_checkpoint_builds_on_the_table(spark, tmp_path):
+    target, schema = str(tmp_path / "table"), "k int, v string, t int, change_type string"
+    sync.publish(spark.createDataFrame([(1, "base", 0), (2, "base", 0)], "k int, v string, t int"), target, ["k"])
+    for name, change in (("first", (1, "first", 1, "update")), ("second", (2, "second", 1, "update"))):
+        source = str(tmp_path / name)
+        spark.createDataFrame([change], schema).write.parquet(source)
+        sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", str(tmp_path / f"{name}-marks"))
+    assert {tuple(r) for r in sync.read_snapshot(spark, target).collect()} == {(1, "first", 1), (2, "second", 1)}
+
+
 def test_sync_rewrites_only_touched_buckets(spark, tmp_path):
     source, target, marks = (str(tmp_path / d) for d in ("in", "table", "marks"))
     start = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("t"))
