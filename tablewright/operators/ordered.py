@@ -115,17 +115,14 @@ def index_percentiles(
     metrics: Sequence[str],
     percents: Sequence[int],
     accuracy: int = 100_000,
-    exact_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Value at index ``floor(n * p / 100)`` of each sorted metric, nulls ignored.
+    """Value at index ``floor(n * p / 100)`` of each sorted metric, nulls and NaN ignored.
 
     One row per metric and percent, with ``n``, ``avg`` and ``max``. A quantile
-    sketch with a known rank error brackets the wanted index; the second pass
-    counts the rows below the bracket and sorts only the distinct values inside
-    it. The result is exact. Metrics of up to ``exact_rows`` rows need no bracket.
+    sketch cuts each metric's values into sections, with a narrow one around every
+    wanted index. Sections are counted exactly, so the one that holds an index is
+    known whatever the sketch's error, and only its distinct values are sorted.
     """
-    if exact_rows < 10 * accuracy:
-        raise ValueError("exact_rows must be at least 10 * accuracy")
     long = df.select(
         F.explode(
             F.array(
@@ -135,7 +132,7 @@ def index_percentiles(
                 ]
             )
         ).alias("__m")
-    ).select("__m.metric", "__m.value").where(F.col("value").isNotNull())
+    ).select("__m.metric", "__m.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
     edges = []
     for p in percents:
         edges += [max(0.0, p / 100 - 2 / accuracy), min(1.0, p / 100 + 2 / accuracy)]
@@ -145,38 +142,36 @@ def index_percentiles(
         F.max("value").alias("max"),
         F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("__edges"),
     )
-    sketched = F.col("n") > exact_rows
-    targets = stats.select(
-        "metric", "n", "avg", "max",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(p).alias("percent"),
-                        F.least(F.floor(F.col("n") * p / 100), F.col("n") - 1).alias("target"),
-                        F.when(sketched, F.col("__edges")[2 * i]).alias("low"),
-                        F.when(sketched, F.col("__edges")[2 * i + 1]).alias("high"),
-                    )
-                    for i, p in enumerate(percents)
-                ]
-            )
-        ).alias("__t"),
-    ).select("metric", "n", "avg", "max", "__t.*")
-    # one row per metric and percent, both given by the caller
-    hits = long.join(F.broadcast(targets), "metric").where(
-        F.col("high").isNull() | (F.col("value") <= F.col("high"))
+    # one row per metric, as given by the caller
+    section = F.size(F.filter("__edges", lambda e: e < F.col("value")))
+    cut = long.join(F.broadcast(stats.select("metric", "__edges")), "metric").select(
+        "metric", "value", section.alias("section")
     )
-    inside = F.col("low").isNull() | (F.col("value") >= F.col("low"))
-    counts = hits.groupBy(
-        "metric", "percent", "n", "avg", "max", "target", F.when(inside, F.col("value")).alias("v")
-    ).agg(F.count(F.lit(1)).alias("c"))
-    w = (
-        Window.partitionBy("metric", "percent")
-        .orderBy(F.col("v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(p).alias("percent"), F.least(F.floor(F.col("n") * p / 100), F.col("n") - 1).alias("target")
+                )
+                for p in percents
+            ]
+        )
+    )
+    targets = stats.select("metric", "n", "avg", "max", wanted.alias("__t")).select("metric", "n", "avg", "max", "__t.*")
+    # at most two sections per percent and one more for each metric
+    by_section = Window.partitionBy("metric").orderBy("section")
+    sections = cut.groupBy("metric", "section").agg(F.count(F.lit(1)).alias("rows")).select(
+        "metric", "section", F.sum("rows").over(by_section).alias("through"), "rows"
     )
-    reached = counts.withColumn("upto", F.sum("c").over(w)).where(F.col("upto") > F.col("target"))
+    held = targets.join(sections, "metric").where(
+        (F.col("target") < F.col("through")) & (F.col("target") >= F.col("through") - F.col("rows"))
+    )
+    counts = cut.join(F.broadcast(held), ["metric", "section"]).groupBy(
+        "metric", "percent", "n", "avg", "max", (F.col("target") - F.col("through") + F.col("rows")).alias("target"), "value"
+    ).agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy("metric", "percent").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counts.withColumn("upto", F.sum("c").over(upto)).where(F.col("upto") > F.col("target"))
     return reached.groupBy("metric", "percent").agg(
         F.first("n").alias("n"), F.first("avg").alias("avg"), F.first("max").alias("max"),
-        F.min("v").alias("value"),
+        F.min("value").alias("value"),
     )
