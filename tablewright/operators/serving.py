@@ -4,28 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright.functions.text import word_count
 from tablewright.operators.ordered import index_percentiles, running_by_bucket
 
-# fixed values: tokens per minute in and out, and queries per hour (none = unlimited)
-MODEL_LIMITS = [
-    ("gpt-oss-120b", 200_000, 10_000, None),
-    ("gpt-oss-20b", 200_000, 10_000, None),
-    ("llama-4-maverick", 200_000, 10_000, 2_400),
-    ("llama-3-3-70b-instruct", 200_000, 10_000, 2_400),
-    ("llama-3-1-8b-instruct", 200_000, 10_000, 7_200),
-    ("llama-3-1-405b-instruct", 5_000, 500, 1_200),
-    ("gemma-3-12b", 200_000, 10_000, 7_200),
-    ("gemini-2-5-pro", 200_000, 20_000, 360_000),
-    ("gemini-2-5-flash", 200_000, 20_000, 360_000),
-    ("claude-sonnet", 200_000, 20_000, 360_000),
-    ("claude-opus", 200_000, 20_000, 360_000),
-    ("claude-haiku", 200_000, 20_000, 360_000),
-]
 # fixed values: provisioned tokens per minute in and out, and the pay-per-token ceiling
 PROVISIONED = {"1x": (400_000, 100_000), "2x": (800_000, 200_000)}
 PAY_PER_TOKEN = (200_000, 10_000)
@@ -41,16 +25,6 @@ SPAN_TYPE, SPAN_TOKENS, CHAT = "mlflow.spanType", "mlflow.chat.tokenUsage", "CHA
 PLAIN_TOKENS = "llm.token_usage.input_tokens"
 
 
-def limits_table(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("model", T.StringType(), False),
-        T.StructField("itpm", T.LongType(), False),
-        T.StructField("otpm", T.LongType(), False),
-        T.StructField("qph", T.LongType()),
-    ])
-    return spark.createDataFrame(MODEL_LIMITS, schema)
-
-
 def turn_profile(messages: DataFrame, block: int = 4096) -> DataFrame:
     """Tokens of each answer and of all that was said before it, per conversation and turn.
 
@@ -188,6 +162,7 @@ def demand(requests: DataFrame, percents: Sequence[int] = (75, 90)) -> DataFrame
 def capacity_ceiling(requests: DataFrame, limits: DataFrame) -> DataFrame:
     """Highest queries per minute each model can serve, and the limit that binds.
 
+    ``limits`` has model, itpm and otpm (tokens per minute in and out) and qph (queries per hour, null if unlimited).
     Earlier limits win ties, in the order input, output, queries.
     """
     shape = requests.agg(F.avg("input_tokens").alias("avg_in"), F.avg("output_tokens").alias("avg_out"))

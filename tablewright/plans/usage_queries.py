@@ -280,8 +280,19 @@ def _(spark, sf):
     return rows.select("percent", "qpm", F.round("itpm", 6).alias("itpm"), F.round("otpm", 6).alias("otpm"))
 
 
-LIMITS = "limits(model, itpm, otpm, qph) AS (VALUES " + ", ".join(
-    f"('{m}', {i}, {o}, {'NULL' if q is None else q})" for m, i, o, q in serving.MODEL_LIMITS) + ")"
+LIMITS = """limits AS (SELECT n_name AS model, 50000 + 20000 * n_nationkey AS itpm, 2000 + 1500 * (n_nationkey * 7 % 25) AS otpm,
+  CASE WHEN n_nationkey % 4 > 0 THEN 300 * n_nationkey END AS qph FROM nation)"""
+
+
+def model_limits(spark, sf):
+    """A model for each nation; every fourth has no limit on its queries."""
+    n = F.col("n_nationkey")
+    return roles.table(spark, sf, "nation").select(
+        F.col("n_name").alias("model"), (50000 + 20000 * n).alias("itpm"), (2000 + 1500 * (n * 7 % 25)).alias("otpm"),
+        F.when(n % 4 > 0, 300 * n).alias("qph"),
+    )
+
+
 CEILING = """ceiling AS (SELECT model, itpm / a.i AS by_input, otpm / a.o AS by_output, qph / 60 AS by_queries,
   least(itpm / a.i, otpm / a.o, coalesce(qph / 60, 'infinity'::DOUBLE)) AS max_qpm
   FROM limits CROSS JOIN (SELECT avg(input_tokens) AS i, avg(output_tokens) AS o FROM {src}) a)"""
@@ -292,7 +303,7 @@ SELECT model, round(by_input, 6) AS by_input, round(by_output, 6) AS by_output,
   CASE max_qpm WHEN by_input THEN 'ITPM' WHEN by_output THEN 'OTPM' ELSE 'QPH' END AS binding,
   round(max_qpm, 6) AS max_qpm FROM ceiling""")
 def _(spark, sf):
-    rows = serving.capacity_ceiling(roles.turns(spark, sf), serving.limits_table(spark))
+    rows = serving.capacity_ceiling(roles.turns(spark, sf), model_limits(spark, sf))
     return rows.select("model", "binding", *[F.round(c, 6).alias(c) for c in ("by_input", "by_output", "by_queries", "max_qpm")])
 
 
@@ -304,7 +315,7 @@ SELECT model, percent, qpm::DOUBLE AS qpm, round(max_qpm, 6) AS max_qpm,
 FROM s JOIN (SELECT unnest([75, 90]) AS percent) ON s.i = least(floor(n * percent / 100)::BIGINT, n - 1) CROSS JOIN ceiling""")
 def _(spark, sf):
     log = roles.requests(spark, sf)
-    rows = serving.tier_needed(serving.demand(log), serving.capacity_ceiling(log, serving.limits_table(spark)))
+    rows = serving.tier_needed(serving.demand(log), serving.capacity_ceiling(log, model_limits(spark, sf)))
     return rows.withColumn("max_qpm", F.round("max_qpm", 6))
 
 

@@ -68,14 +68,15 @@ def test_profile_summary(spark):
     assert got == {"a": (10, 5.5, 6.0, 8.0, 10.0, 10.0), "b": (5, 5.0, 5.0, 7.0, 9.0, 9.0)}
 
 
+def limits(spark):
+    rows = [("open", 90_000, 6_000, None), ("slow", 90_000, 6_000, 420), ("narrow", 800, 6_000, 9_000), ("tied", 1_000, 1_000, 300)]
+    return spark.createDataFrame(rows, "model string, itpm bigint, otpm bigint, qph bigint")
+
+
 def test_capacity_ceiling(spark):
     requests = spark.createDataFrame([(100, 300), (300, 100)], "input_tokens bigint, output_tokens bigint")
-    limits = serving.limits_table(spark)
-    assert limits.count() == 12
-    got = {r.model: r for r in serving.capacity_ceiling(requests, limits).collect()}
-    assert (got["gpt-oss-120b"].binding, got["gpt-oss-120b"].max_qpm) == ("OTPM", 50.0)
-    assert got["llama-3-3-70b-instruct"].binding == "QPH" and got["llama-3-3-70b-instruct"].max_qpm == 40.0
-    assert got["llama-3-1-405b-instruct"].max_qpm == 2.5
+    got = {r.model: (r.binding, r.max_qpm) for r in serving.capacity_ceiling(requests, limits(spark)).collect()}
+    assert got == {"open": ("OTPM", 30.0), "slow": ("QPH", 7.0), "narrow": ("ITPM", 4.0), "tied": ("ITPM", 5.0)}
 
 
 def test_frontiers(spark):
@@ -106,6 +107,7 @@ def test_demand_and_tier(spark):
         F.lit(3000).alias("output_tokens"))
     got = {r.percent: r for r in serving.demand(log).collect()}
     assert (got[75].qpm, got[75].itpm) == (9.0, 9000.0) and got[90].qpm == 11.0
-    tiers = serving.tier_needed(serving.demand(log), serving.capacity_ceiling(log, serving.limits_table(spark)))
+    tiers = serving.tier_needed(serving.demand(log), serving.capacity_ceiling(log, limits(spark).replace(6_000, 31_000, "otpm")))
     found = {(r.model, r.percent): r.tier for r in tiers.collect()}
-    assert len(found) == 24 and found["gpt-oss-20b", 75] == "provisioned" and found["gemini-2-5-pro", 75] == "provisioned"
+    assert len(found) == 8 and found["open", 75] == "pay-per-token" and found["open", 90] == "provisioned"
+    assert found["tied", 75] == "provisioned"
