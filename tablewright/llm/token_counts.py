@@ -122,11 +122,13 @@ def document_lengths(files: DataFrame, folder: str, end: int = END_OF_DOCUMENT,
         (F.coalesce("last_before", "last_before_run", F.lit(-1)) + 1).alias("open"),
     )
     placed = found.join(scanned, ["path", "block"])
-    rows = placed.select("path", "base", "open", first.alias("first"), "ends", F.posexplode("ends").alias("k", "at"))
-    start = F.when(F.col("k") == 0, F.col("open")).otherwise(F.col("first") + F.get("ends", F.col("k") - 1) + 1)
+    # each end comes with the one before it, so that the exploded rows need not carry the block's array
+    ends = F.transform("ends", lambda at, k: F.struct(at.alias("at"), F.get("ends", k - 1).alias("before")))
+    rows = placed.select("path", "base", "open", first.alias("first"), F.posexplode(ends).alias("k", "e"))
+    start = F.when(F.col("k") == 0, F.col("open")).otherwise(F.col("first") + F.col("e.before") + 1)
     closed = rows.select(
         "path", (F.col("base") + F.col("k")).alias("ordinal"), start.alias("start"),
-        (F.col("first") + F.col("at") - start).alias("n_tokens"), F.lit(True).alias("closed"),
+        (F.col("first") + F.col("e.at") - start).alias("n_tokens"), F.lit(True).alias("closed"),
     )
     whole = marks.groupBy("path").agg(
         F.sum("n").alias("ordinal"), (F.coalesce(F.max("last"), F.lit(-1)) + 1).alias("start"), F.max("until").alias("until")
