@@ -129,13 +129,15 @@ def fit_classifier(
 
 
 def hit_and_ndcg(lists: DataFrame, items: str, label: str, k: int) -> DataFrame:
-    """Mean Hit@k and NDCG@k with one relevant item per row."""
+    """Mean Hit@k and NDCG@k with one relevant item per row; rows without a list (null) are counted as cold, not judged."""
     place = F.array_position(F.slice(F.col(items), 1, k), F.col(label))
-    found = lists.select(F.coalesce(place, F.lit(0)).alias("place"))
+    found = lists.select(F.when(F.col(items).isNotNull(), F.coalesce(place, F.lit(0))).alias("place"))
+    hit = F.when(F.col("place") > 0, 1.0).when(F.col("place") == 0, 0.0)
     return found.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg((F.col("place") > 0).cast("double")).alias("hit"),
-        F.avg(F.when(F.col("place") > 0, 1 / F.log2(F.col("place") + 1)).otherwise(0.0)).alias("ndcg"),
+        F.count("place").alias("n"),
+        F.count_if(F.col("place").isNull()).alias("cold"),
+        F.avg(hit).alias("hit"),
+        F.avg(hit / F.log2(F.greatest("place", F.lit(1)) + 1)).alias("ndcg"),
     )
 
 

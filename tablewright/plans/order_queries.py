@@ -381,12 +381,16 @@ TOP_SHARES = """lists AS (SELECT mpid, item, n::DOUBLE / total AS share,
   row_number() OVER (PARTITION BY mpid ORDER BY n::DOUBLE / total DESC, item)::INTEGER AS rank FROM shares)"""
 
 
-def share_lists(spark, sf):
+def lists_of(baskets):
     """Published lists of each user's most bought items."""
-    pairs = orders.explode_items(roles.user_orders(spark, sf), "mpid")
+    pairs = orders.explode_items(baskets, "mpid")
     return factors.publish_lists(roles.ranked_shares(features.interaction_share(pairs, "mpid", "item")))
 
 
+def share_lists(spark, sf):
+    return lists_of(roles.user_orders(spark, sf))
+
+
 @query("topk_arrays", f"""WITH {BRANDS}, {USERS}, {IDS.format(src='lines')}, {TOP_SHARES}
 SELECT mpid, rank, item, round(share, 6) AS score FROM lists WHERE rank <= 20""")
 def _(spark, sf):
@@ -411,16 +415,18 @@ def _(spark, sf):
     )
 
 
-@query("ndcg", f"""WITH {BRANDS}, {USERS}, {IDS.format(src='lines')}, {TOP_SHARES}, {HELD_OUT.format(src='lines')},
-judged AS (SELECT a.order_id, l.rank FROM added a JOIN heads h ON h.order_id = a.order_id
-  LEFT JOIN lists l ON l.mpid = h.mpid AND l.item = a.item AND l.rank <= 5)
-SELECT count(*) AS n, round(avg((rank IS NOT NULL)::INT), 6) AS hit,
-  round(avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 / log2(rank + 1) END), 6) AS ndcg FROM judged""")
+@query("ndcg", f"""WITH {BRANDS}, {USERS}, {SPLIT}, {IDS.format(src='train')}, {TOP_SHARES}, {HELD_OUT.format(src='test')},
+judged AS (SELECT a.order_id, u.mpid IS NULL AS cold, l.rank FROM added a JOIN heads h ON h.order_id = a.order_id
+  LEFT JOIN user_ids u ON u.mpid = h.mpid LEFT JOIN lists l ON l.mpid = h.mpid AND l.item = a.item AND l.rank <= 5)
+SELECT count(*) FILTER (NOT cold) AS n, count(*) FILTER (cold) AS cold,
+  round(avg((rank IS NOT NULL)::INT) FILTER (NOT cold), 6) AS hit,
+  round(avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 / log2(rank + 1) END) FILTER (NOT cold), 6) AS ndcg FROM judged""")
 def _(spark, sf):
-    held = orders.hold_out_last(roles.user_orders(spark, sf), "mpid", "order_id")
-    judged = held.join(share_lists(spark, sf), "mpid")
-    return hit_and_ndcg(judged, "recommendations", "added", 5).select(
-        "n", F.round("hit", 6).alias("hit"), F.round("ndcg", 6).alias("ndcg")
+    """The last items of test orders against lists from training orders; orders of users without a list are counted apart."""
+    train, test = roles.train_test(spark, sf)
+    held = orders.hold_out_last(test, "mpid", "order_id").join(lists_of(train), "mpid", "left")
+    return hit_and_ndcg(held, "recommendations", "added", 5).select(
+        "n", "cold", F.round("hit", 6).alias("hit"), F.round("ndcg", 6).alias("ndcg")
     )
 
 

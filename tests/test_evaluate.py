@@ -46,10 +46,11 @@ def test_model_aliases(spark):
 
 def test_hit_and_ndcg(spark):
     df = spark.createDataFrame(
-        [(["a", "b", "c"], "a"), (["a", "b", "c"], "c"), (["a", "b", "c"], "z"), (["a", "b", "c"], "b")],
+        [(["a", "b", "c"], "a"), (["a", "b", "c"], "c"), (["a", "b", "c"], "z"), (["a", "b", "c"], "b"),
+         (None, "a")],
         "items array<string>, label string")
     got = evaluate.hit_and_ndcg(df, "items", "label", 2).first()
-    assert tuple(got) == (4, 0.5, pytest.approx((1 + 1 / math.log2(3)) / 4))
+    assert (got.n, got.hit, got.ndcg, got.cold) == (4, 0.5, pytest.approx((1 + 1 / math.log2(3)) / 4), 1)
 
 
 def test_classifier_learns(spark):
