@@ -23,9 +23,13 @@ from tablewright.llm.common import add_columns, chunks, col, make_rows, mixed
 
 BUCKETS = 2**17
 DIM = 12
-#: Words of a span. One was best on held-out labels (1, 3 and 6 were tried); longer spans dilute misspelt words.
+#: Words of a span. One was best on labels of training rows (1, 3 and 6 were tried); longer spans dilute misspelt words.
 SPAN = 1
 SIZES = (3, 4, 5)
+#: Words of more than LONG characters are cut into pieces of PIECE characters, one each STEP characters, and at ASCII punctuation.
+LONG, PIECE, STEP = 64, 16, 8
+#: Characters of words whose n-grams are held at a time when texts are scored.
+AT_ONCE = 2_000_000
 #: The training sample: at most so many labelled documents of each class, by hash, of texts up to so many characters.
 MAX_PER_CLASS = 1000
 MAX_CHARS = 20_000
@@ -35,16 +39,31 @@ RATE, DECAY, FLOOR = 0.05, 0.3, 1e-5
 SEED = 7
 
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+_BLANKS = str.maketrans(_STRIP, " " * len(_STRIP))
 
 
 def words(text: str | None) -> list[str]:
-    """Words between white space in small letters, without ASCII punctuation around them."""
-    return [w for x in (text or "").lower().split() if (w := x.strip(_STRIP))]
+    """Words between white space in small letters, without ASCII punctuation around them; long ones as their pieces."""
+    out = []
+    for x in (text or "").lower().split():
+        if w := x.strip(_STRIP):
+            if len(w) > LONG:
+                out += pieces(w)
+            else:
+                out.append(w)
+    return out
+
+
+def pieces(word: str) -> list[str]:
+    """Overlapping pieces that have all n-grams of a long word, and its parts between ASCII punctuation where it has any."""
+    out = [word[i : i + PIECE] for i in range(0, len(word) - PIECE + STEP, STEP)]
+    parts = [p for p in word.translate(_BLANKS).split() if len(p) <= LONG]
+    return out + parts
 
 
 def ngrams(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words' n-grams in a row, boundaries marked, and where each word's begin. Every word has one at least."""
-    marked = [f"<{w[:64]}>" for w in vocabulary]
+    marked = [f"<{w}>" for w in vocabulary]
     lengths = np.array([len(w) for w in marked], dtype=np.int64)
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     word = np.repeat(np.arange(len(marked)), lengths)
@@ -101,8 +120,14 @@ class Corpus:
     def span_scores(self, buckets: np.ndarray) -> np.ndarray:
         if not len(self.ids):
             return np.empty(0, np.float32)
-        grams, at = ngrams(self.vocabulary)
-        return means(means(buckets[grams], at)[self.ids], self.starts)
+        ends = np.cumsum([len(w) for w in self.vocabulary])
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + AT_ONCE, AT_ONCE)))
+        parts = []
+        for a, b in zip(cuts, [*cuts[1:], len(ends)], strict=True):
+            if a < b:
+                grams, at = ngrams(self.vocabulary[a:b])
+                parts.append(means(buckets[grams], at))
+        return means(np.concatenate(parts)[self.ids], self.starts)
 
     def top(self, spans: np.ndarray, empty: float) -> np.ndarray:
         out = np.full(len(self.doc_spans) - 1, empty)

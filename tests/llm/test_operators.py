@@ -204,3 +204,17 @@ def test_pipeline_stages(spark):
     assert ids and ids <= kept
     texts = [r.text for r in out.collect()]
     assert not any(brute_spans(t) for t in texts)
+
+
+def test_toxicity_reads_long_words_to_the_end(spark):
+    rng = np.random.default_rng(5)
+    plain = [f"{a}{b}" for a in ("th", "on", "er", "an", "ti") for b in ("ion", "ed", "es", "le", "at", "ou")]
+    texts = [" ".join(rng.choice(plain, 20)) + (" worthless" if i % 4 == 0 else "") for i in range(400)]
+    model = toxicity.train(texts, np.array([int(i % 4 == 0) for i in range(400)]))
+    line = ",".join(plain)
+    long = [f"{line},worthless", f"{line}_worthless/{line}", line, "x" * 70 + "worthless"]
+    got = [r.predicted for r in toxicity.scores(docs_of(spark, list(enumerate(long))), model).orderBy("doc_id").collect()]
+    assert got[:3] == [1, 1, 0]
+    for word in long:
+        found = {p[i : i + n] for p in toxicity.words(word) for n in toxicity.SIZES for i in range(len(p) - n + 1)}
+        assert {word[i : i + n] for n in toxicity.SIZES for i in range(len(word) - n + 1)} <= found
