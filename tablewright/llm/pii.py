@@ -26,18 +26,20 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "account")
 _RANK = {k: i for i, k in enumerate(KINDS)}
 
-#: Words that announce a number, in small letters; they are also found capitalised and in capitals.
+#: Words that announce a number, in small letters; they are found in any mixture of small and capital letters.
 CUES = ("account", "acct", "iban", "konto", "kontonummer", "compte", "cuenta", "ssn", "social security", "passport", "tax id")
 
 _LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 _SCHEME = frozenset(string.ascii_letters + string.digits + "+.-")
 _DIGITS = frozenset(string.digits)
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 _domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
 _run = re.compile(r"[0-9]+").match
 _ip_rest = re.compile(r"\.([0-9]+)\.([0-9]+)\.([0-9]+)").match
 _card = re.compile(r"[0-9](?:[ -]?[0-9])+").match
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").match
-_user_address = re.compile(r"[^\s/?#@<>\"']{1,256}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]{1,5})?(?:/[^\s<>\"']*)?").match
+# a user part ends before a slash, so those behind two scheme marks never share a character
+_user_address = re.compile(r"[^\s/?#@<>\"']++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]{1,5})?(?:/[^\s<>\"']*)?").match
 _joint = re.compile(r"(?:[ \t]{0,4}(?:number|num\.?|no\.?|nr\.?|id|is|:|#|=|-)){0,4}[ \t]{0,4}", re.I).match
 _iban = re.compile(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])").match
 _account = re.compile(r"[0-9](?:[ -]?[0-9]){5,16}(?![0-9A-Za-z])").match
@@ -47,7 +49,7 @@ def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for kind, patterns in (
         ("@", ["@"]), ("+", ["+"]), ("0", list(string.digits)), (":", ["://"]),
-        ("cue", [x for c in CUES for x in {c, c.capitalize(), c.upper()}]),
+        ("cue", list(CUES)),
     ):
         for p in patterns:
             found.add_word(p, (kind, len(p)))
@@ -55,6 +57,11 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
+def lowered(text: str) -> str:
+    """The text with A to Z in small letters, of equal length."""
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 def luhn(digits: str) -> bool:
     total = sum(map(int, digits[-1::-2]))
     return (total + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
@@ -70,7 +77,7 @@ def spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str
     out: list[tuple[int, int, str]] = []
     extra: list[tuple[int, int, str]] = []
     email_from = ip_from = card_from = phone_from = extra_from = 0
-    for last, (kind, length) in anchors.iter(text):
+    for last, (kind, length) in anchors.iter(lowered(text)):
         if kind == "0":
             if last >= card_from and (m := _card(text, last)):
                 card_from = m.end()
