@@ -131,3 +131,79 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
        sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
+
+FILL_IN_MIDDLE_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS c2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS r3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS r4 FROM d),
+cut AS (
+  SELECT *, substr(text, 1, least(c1, c2)) AS p, substr(text, least(c1, c2) + 1, greatest(c1, c2) - least(c1, c2)) AS m,
+         substr(text, greatest(c1, c2) + 1) AS s,
+         CASE WHEN n = 0 OR r3 >= 90 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN r4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+_PART = "coalesce(CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_PART.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_LEAF.format("text")} AS leaf, {_LEAF.format(LOWER.format("text"))} AS altered,
+         list_reduce(
+           list_prepend(CAST(4294967295 AS UBIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+             lambda c: [CAST(ord(c) + 512 AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda c, x: CASE WHEN x > 0 THEN xor(c, x - 512) WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END
+         ) AS crc
+  FROM documents),
+placed AS (
+  SELECT *, CASE WHEN xor(crc, CAST(4294967295 AS UBIGINT)) % 5 = 0 THEN altered ELSE leaf END AS seen,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS i FROM d),
+tree AS (
+  SELECT coalesce('+' || source, '') AS t, 0 AS level, CAST(i AS BIGINT) AS i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT t, level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16
+  FROM tree WHERE n > 1 GROUP BY t, level, i // 16),
+top AS (
+  SELECT 0 AS level, CAST(row_number() OVER (ORDER BY encode(t)) - 1 AS BIGINT) AS i, h, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+  UNION ALL
+  SELECT level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16
+  FROM top WHERE n > 1 GROUP BY level, i // 16),
+subroots AS (SELECT t, h AS subroot, level AS height, row_number() OVER (ORDER BY encode(t)) - 1 AS place FROM tree WHERE n = 1),
+levels AS (
+  SELECT t, level, i, h FROM tree WHERE n > 1
+  UNION ALL SELECT s.t, s.height + top.level, top.i, top.h FROM subroots s, top WHERE top.n > 1),
+runs AS (SELECT t, level, i // 16 AS run, list(h ORDER BY i) AS hs FROM levels GROUP BY ALL),
+spots AS (
+  SELECT p.doc_id, p.leaf, p.seen, p.i AS start, s.t, s.subroot, s.height, s.place, p.source
+  FROM placed p JOIN subroots s ON s.t = coalesce('+' || p.source, '')),
+steps AS (
+  SELECT a.t, a.start, r.level, r.hs,
+         CASE WHEN r.level < a.height THEN a.start // CAST(pow(16, r.level) AS BIGINT)
+              ELSE a.place // CAST(pow(16, r.level - a.height) AS BIGINT) END AS own
+  FROM spots a JOIN runs r ON r.t = a.t AND r.run =
+         CASE WHEN r.level < a.height THEN a.start // CAST(pow(16, r.level + 1) AS BIGINT)
+              ELSE a.place // CAST(pow(16, r.level - a.height + 1) AS BIGINT) END),
+sides AS (
+  SELECT t, start, level, array_to_string(hs[1 : own % 16], '') AS l, array_to_string(hs[own % 16 + 2 :], '') AS r FROM steps),
+proofs AS (SELECT t, start, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM sides GROUP BY ALL),
+folds AS (
+  SELECT a.t, a.start, 0 AS level, a.seen AS h, coalesce(p.ls, []) AS ls, coalesce(p.rs, []) AS rs
+  FROM spots a LEFT JOIN proofs p ON p.t = a.t AND p.start = a.start
+  UNION ALL
+  SELECT t, start, level + 1, sha256(ls[level + 1] || h || rs[level + 1]), ls, rs FROM folds WHERE level < len(ls))
+SELECT a.doc_id, a.leaf, a.subroot, (SELECT h FROM top WHERE n = 1) AS root,
+       sha256(array_to_string(list_transform(range(1, len(f.ls) + 1), lambda k: f.ls[k] || f.rs[k]), '')) AS proof_sha256,
+       f.h AS folded_root, f.h = (SELECT h FROM top WHERE n = 1) AS verified
+FROM spots a JOIN folds f ON f.t = a.t AND f.start = a.start AND f.level = len(f.ls)
+"""

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import decontamination, licenses, mixing, near_duplicates, pii, quality, substrings, token_counts, toxicity, warc
+from tablewright.llm import (
+    decontamination, fill_in_middle, licenses, merkle, mixing, near_duplicates, pii, quality, simhash, substrings, token_counts,
+    toxicity, warc,
+)
 from tablewright.llm.common import table
-from tablewright.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL, SUBSTRINGS_SQL, WARC_SQL, license_sql
+from tablewright.llm.oracles import (
+    DECONTAMINATION_SQL, FILL_IN_MIDDLE_SQL, MERKLE_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL, SUBSTRINGS_SQL, WARC_SQL, license_sql,
+)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +61,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
@@ -66,6 +90,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_round_trip": op8_warc_round_trip,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -75,4 +102,6 @@ LLM_ORACLES: dict[str, str] = {
     "op6_substring_dedup": SUBSTRINGS_SQL,
     "op8_warc_round_trip": WARC_SQL,
     "op9_minhash_near_dedup": NEAR_DUPLICATES_SQL,
+    "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }
