@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,16 +32,17 @@ def running_by_bucket(
     key is a key like any other.
     """
     sums = sums or {}
-    tagged = df.withColumn("__bucket", bucket)
-    group = [*keys, "__bucket"]
+    # a struct is never null, so join and window use the same columns and share one shuffle
+    tagged = df.withColumn("__keys", F.struct(*keys)).withColumn("__bucket", bucket)
+    group = ["__keys", "__bucket"]
     totals = tagged.groupBy(*group).agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.sum(src).alias(f"__sum_{name}") for name, src in sums.items()],
     )
-    whole = Window.partitionBy(*keys)
+    whole = Window.partitionBy("__keys")
     before = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(c).alias(f"__of_{c}") for c in group],
+        *group,
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows_before"),
         *[
             F.coalesce(F.sum(f"__sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}")
@@ -53,8 +52,7 @@ def running_by_bucket(
     )
     inside = Window.partitionBy(*group).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in group])
-    out = tagged.join(offsets, same)
+    out = tagged.join(offsets, group)
     added = [total] if total else []
     if row_number:
         out = out.withColumn(row_number, F.row_number().over(inside) + F.col("__rows_before"))

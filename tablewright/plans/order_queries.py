@@ -25,21 +25,31 @@ SPLIT = """split AS (
     <= ceil(count(*) OVER (PARTITION BY mpid) * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM heads),
 train AS (SELECT l.* FROM lines l JOIN split s ON l.order_id = s.order_id AND s.split = 'train'),
 test AS (SELECT l.* FROM lines l JOIN split s ON l.order_id = s.order_id AND s.split = 'test')"""
-PAIR_RULES = """single AS (SELECT item, count(*) AS n FROM {src} GROUP BY 1),
-total AS (SELECT count(DISTINCT order_id) AS n FROM {src}),
+RULES = """total AS (SELECT count(DISTINCT order_id) AS n FROM {src}),
+occ AS (
+  SELECT [item] AS items, order_id FROM {src}
+  QUALIFY count(*) OVER (PARTITION BY item) >= ceil({support} * (SELECT n FROM total))
+  UNION ALL
+  SELECT list_append(o.items, l.item), o.order_id FROM occ o JOIN {src} l ON l.order_id = o.order_id AND l.item > o.items[-1]
+  QUALIFY count(*) OVER (PARTITION BY list_append(o.items, l.item)) >= ceil({support} * (SELECT n FROM total))),
+sets AS (SELECT items, count(*) AS n FROM occ GROUP BY 1),
+splits AS (
+  SELECT list_filter(items, lambda x: x <> c) AS items, c AS consequent, n
+  FROM (SELECT items, n, unnest(items) AS c FROM sets WHERE len(items) > 1)),
 rules AS (
-  SELECT x.item AS antecedent, y.item AS consequent, count(*) AS n,
-    count(*)::DOUBLE / any_value(a.n) AS confidence,
-    count(*)::DOUBLE / any_value(a.n) / (any_value(c.n)::DOUBLE / any_value(t.n)) AS lift,
-    count(*)::DOUBLE / any_value(t.n) AS support
-  FROM {src} x JOIN {src} y ON x.order_id = y.order_id AND x.item <> y.item
-  JOIN single a ON a.item = x.item JOIN single c ON c.item = y.item CROSS JOIN total t
-  GROUP BY 1, 2 HAVING count(*) >= ceil({support} * any_value(t.n)))"""
+  SELECT s.items, array_to_string(s.items, '+') AS antecedent, consequent, s.n::DOUBLE / a.n AS confidence,
+    s.n::DOUBLE / a.n / (c.n::DOUBLE / t.n) AS lift, s.n::DOUBLE / t.n AS support
+  FROM splits s JOIN sets a ON a.items = s.items JOIN sets c ON c.items = [s.consequent] CROSS JOIN total t)"""
 SIZES = "sizes AS (SELECT order_id, count(*) AS n_cart FROM {src} GROUP BY 1)"
-SCORED = """scored AS (
-  SELECT c.order_id, r.consequent, max(r.{metric} * (1.0::DOUBLE / s.n_cart)) AS rule_score
-  FROM {src} c JOIN sizes s ON s.order_id = c.order_id JOIN rules r ON r.antecedent = c.item
-  WHERE NOT EXISTS (SELECT 1 FROM {src} o WHERE o.order_id = c.order_id AND o.item = r.consequent)
+MATCHED = """hits AS (
+  SELECT c.order_id, r.antecedent, r.consequent, any_value(r.confidence) AS confidence, any_value(r.lift) AS lift,
+    (count(*) * count(*))::DOUBLE / (any_value(len(r.items)) * any_value(z.n_cart)) AS match_score
+  FROM {src} c JOIN sizes z ON z.order_id = c.order_id
+  JOIN (SELECT *, unnest(items) AS item FROM rules) r ON r.item = c.item GROUP BY 1, 2, 3)"""
+SCORED = MATCHED + """,
+scored AS (
+  SELECT h.order_id, consequent, max({metric} * match_score) AS rule_score FROM hits h
+  WHERE NOT EXISTS (SELECT 1 FROM {src} o WHERE o.order_id = h.order_id AND o.item = h.consequent)
   GROUP BY 1, 2),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY rule_score DESC, consequent) AS rank FROM scored)"""
@@ -50,9 +60,13 @@ cart AS (SELECT order_id, item, line FROM placed WHERE n > 1 AND back > 1),
 added AS (SELECT order_id, item FROM placed WHERE n > 1 AND back = 1)"""
 
 
-def pair_rules(baskets):
-    """All rules at the support that all queries use; no item set of more than two items has it in the test tables."""
-    return rules.mine_rules(baskets, min_support=roles.MIN_SUPPORT)
+def mined_rules(baskets, support=roles.MIN_SUPPORT):
+    """All rules at that support, whatever the number of items in their antecedents."""
+    return rules.mine_rules(baskets, min_support=support)
+
+
+def joined(antecedent="antecedent"):
+    return F.array_join(antecedent, "+").alias("antecedent")
 
 
 def as_carts(baskets):
@@ -98,74 +112,45 @@ def _(spark, sf):
     return top.select(F.posexplode("popular").alias("pos", "item")).select((F.col("pos") + 1).alias("rank"), "item")
 
 
-@query("assoc_rules", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)}
+@query("assoc_rules", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)}
 SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift,
   round(support, 6) AS support FROM rules""")
 def _(spark, sf):
-    return pair_rules(roles.baskets(spark, sf)).select(
-        F.col("antecedent")[0].alias("antecedent"), "consequent",
+    return mined_rules(roles.baskets(spark, sf)).select(
+        joined(), "consequent",
         *[F.round(c, 6).alias(c) for c in ("confidence", "lift", "support")],
     )
 
 
-DEEP_RULES = """total AS (SELECT count(DISTINCT order_id) AS n FROM lines),
-floor AS (SELECT ceil(0.002 * n) AS n FROM total),
-i1 AS (SELECT item AS a, count(*) AS n FROM lines GROUP BY 1 HAVING count(*) >= (SELECT n FROM floor)),
-i2 AS (SELECT x.item AS a, y.item AS b, count(*) AS n FROM lines x JOIN lines y
-  ON x.order_id = y.order_id AND x.item < y.item GROUP BY 1, 2 HAVING count(*) >= (SELECT n FROM floor)),
-i3 AS (SELECT x.item AS a, y.item AS b, z.item AS c, count(*) AS n FROM lines x
-  JOIN lines y ON x.order_id = y.order_id AND x.item < y.item
-  JOIN lines z ON z.order_id = y.order_id AND y.item < z.item
-  GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT n FROM floor)),
-found AS (
-  SELECT i2.a AS antecedent, i2.b AS consequent, i2.n, i1.n AS na FROM i2 JOIN i1 ON i1.a = i2.a
-  UNION ALL SELECT i2.b, i2.a, i2.n, i1.n FROM i2 JOIN i1 ON i1.a = i2.b
-  UNION ALL SELECT i3.a || '+' || i3.b, i3.c, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.a AND i2.b = i3.b
-  UNION ALL SELECT i3.a || '+' || i3.c, i3.b, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.a AND i2.b = i3.c
-  UNION ALL SELECT i3.b || '+' || i3.c, i3.a, i3.n, i2.n FROM i3 JOIN i2 ON i2.a = i3.b AND i2.b = i3.c)"""
-
+#: A share of orders that sets of several items reach.
+LOW_SUPPORT = 0.002
 
-def deep_rules(baskets):
-    """All rules at a low support; no item set of more than three items has it in the test tables."""
-    return rules.mine_rules(baskets, min_support=0.002)
 
-
-@query("assoc_rules_deep", f"""WITH {BRANDS}, {DEEP_RULES}
-SELECT antecedent, consequent, round(n::DOUBLE / na, 6) AS confidence,
-  round(n::DOUBLE / (SELECT n FROM total), 6) AS support FROM found""")
+@query("assoc_rules_deep", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=LOW_SUPPORT)}
+SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(support, 6) AS support FROM rules""")
 def _(spark, sf):
-    return deep_rules(roles.baskets(spark, sf)).select(
-        F.array_join("antecedent", "+").alias("antecedent"), "consequent",
+    return mined_rules(roles.baskets(spark, sf), LOW_SUPPORT).select(
+        joined(), "consequent",
         F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"),
     )
 
 
-@query("mba_topk_deep", f"""WITH {BRANDS}, {DEEP_RULES}, {SIZES.format(src='lines')},
-parts AS (SELECT antecedent, consequent, n::DOUBLE / na AS confidence, len(string_split(antecedent, '+')) AS n_antecedent,
-  unnest(string_split(antecedent, '+')) AS item FROM found),
-hits AS (SELECT c.order_id, antecedent, consequent, any_value(confidence) AS confidence, any_value(n_antecedent) AS n_antecedent,
-  any_value(n_cart) AS n_cart, count(*) AS overlap
-  FROM lines c JOIN parts p ON p.item = c.item JOIN sizes s ON s.order_id = c.order_id GROUP BY 1, 2, 3),
-scored AS (SELECT order_id, consequent, max(confidence * ((overlap * overlap)::DOUBLE / (n_antecedent * n_cart))) AS rule_score
-  FROM hits h WHERE NOT EXISTS (SELECT 1 FROM lines o WHERE o.order_id = h.order_id AND o.item = h.consequent) GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY rule_score DESC, consequent) AS rank FROM scored)
+@query("mba_topk_deep", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=LOW_SUPPORT)},
+{SIZES.format(src='lines')}, {SCORED.format(src='lines', metric='confidence')}
 SELECT order_id, rank::INTEGER AS rank, consequent, round(rule_score, 6) AS rule_score FROM ranked WHERE rank <= 5""")
 def _(spark, sf):
     baskets = roles.baskets(spark, sf)
-    ranked = rules.rank_consequents(as_carts(baskets), rules.index_rules(deep_rules(baskets)), 5)
+    ranked = rules.rank_consequents(as_carts(baskets), rules.index_rules(mined_rules(baskets, LOW_SUPPORT)), 5)
     return ranked.select("order_id", "rank", "consequent", F.round("rule_score", 6).alias("rule_score"))
 
 
-@query("rule_match", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)},
-{SIZES.format(src='lines')}
-SELECT r.antecedent, r.consequent, count(*) AS carts, round(avg(1.0::DOUBLE / n_cart), 6) AS mean_match
-FROM lines c JOIN sizes s ON s.order_id = c.order_id JOIN rules r ON r.antecedent = c.item GROUP BY 1, 2""")
+@query("rule_match", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)},
+{SIZES.format(src='lines')}, {MATCHED.format(src='lines')}
+SELECT antecedent, consequent, count(*) AS carts, round(avg(match_score), 6) AS mean_match FROM hits GROUP BY 1, 2""")
 def _(spark, sf):
     baskets = roles.baskets(spark, sf)
-    mined = pair_rules(baskets)
-    names = mined.select(
-        F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"), F.col("antecedent")[0].alias("antecedent")
-    )
+    mined = mined_rules(baskets)
+    names = mined.select(F.xxhash64(F.to_json("antecedent"), "consequent").alias("rule"), joined())
     matches = rules.match_rules(as_carts(baskets), rules.index_rules(mined))
     per_rule = matches.groupBy("rule", "consequent").agg(
         F.count(F.lit(1)).alias("carts"), F.round(F.avg("match_score"), 6).alias("mean_match")
@@ -173,13 +158,13 @@ def _(spark, sf):
     return per_rule.join(names, "rule").select("antecedent", "consequent", "carts", "mean_match")
 
 
-@query("mba_score", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)},
+@query("mba_score", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)},
 {SIZES.format(src='lines')}, {SCORED.format(src='lines', metric='lift')}
 SELECT consequent, count(*) AS carts, round(avg(rule_score), 6) AS mean_score, round(max(rule_score), 6) AS best_score
 FROM scored GROUP BY 1""")
 def _(spark, sf):
     baskets = roles.baskets(spark, sf)
-    index = rules.index_rules(pair_rules(baskets), "lift")
+    index = rules.index_rules(mined_rules(baskets), "lift")
     best = rules.best_consequents(rules.match_rules(as_carts(baskets), index))
     return best.groupBy("consequent").agg(
         F.count(F.lit(1)).alias("carts"), F.round(F.avg("rule_score"), 6).alias("mean_score"),
@@ -187,25 +172,25 @@ def _(spark, sf):
     )
 
 
-@query("mba_topk", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)},
+@query("mba_topk", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)},
 {SIZES.format(src='lines')}, {SCORED.format(src='lines', metric='confidence')}
 SELECT order_id, rank::INTEGER AS rank, consequent, round(rule_score, 6) AS rule_score FROM ranked WHERE rank <= 5""")
 def _(spark, sf):
     baskets = roles.baskets(spark, sf)
-    index = rules.index_rules(pair_rules(baskets))
+    index = rules.index_rules(mined_rules(baskets))
     ranked = rules.rank_consequents(as_carts(baskets), index, 5)
     return ranked.select("order_id", "rank", "consequent", F.round("rule_score", 6).alias("rule_score"))
 
 
-@query("rules_relevant", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)},
+@query("rules_relevant", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)},
 wanted AS (SELECT DISTINCT item FROM lines JOIN orders ON o_orderkey = order_id WHERE o_totalprice > 499000)
-SELECT antecedent, consequent FROM rules WHERE antecedent IN (SELECT item FROM wanted)""")
+SELECT antecedent, consequent FROM rules WHERE list_has_any(items, (SELECT list(item) FROM wanted))""")
 def _(spark, sf):
     dear = roles.table(spark, sf, "orders").where(F.col("o_totalprice") > 499000)
     baskets = roles.baskets(spark, sf)
     carts = as_carts(baskets).join(dear.select(F.col("o_orderkey").alias("order_id")), "order_id", "left_semi")
-    found = rules.relevant_rules(pair_rules(baskets), carts)
-    return found.select(F.col("antecedent")[0].alias("antecedent"), "consequent")
+    found = rules.relevant_rules(mined_rules(baskets), carts)
+    return found.select(joined(), "consequent")
 
 
 @query("leave_one_out", f"""WITH {BRANDS}, {HELD_OUT.format(src='lines')}
@@ -216,10 +201,10 @@ def _(spark, sf):
     return held.select("order_id", F.array_join("cart", ",").alias("cart"), "added")
 
 
-@query("hit_at_k", f"""WITH {BRANDS}, {USERS}, {SPLIT},
-{PAIR_RULES.format(src='train', support=roles.MIN_SUPPORT)}, {HELD_OUT.format(src='test')},
+@query("hit_at_k", f"""WITH RECURSIVE {BRANDS}, {USERS}, {SPLIT},
+{RULES.format(src='train', support=roles.MIN_SUPPORT)}, {HELD_OUT.format(src='test')},
 {SIZES.format(src='cart')}, {SCORED.format(src='cart', metric='confidence')},
-popular AS (SELECT item FROM single ORDER BY n DESC, item LIMIT 5),
+popular AS (SELECT item FROM train GROUP BY 1 ORDER BY count(*) DESC, item LIMIT 5),
 judged AS (SELECT a.order_id,
   EXISTS (SELECT 1 FROM ranked r WHERE r.order_id = a.order_id AND rank <= 5) AS matched,
   EXISTS (SELECT 1 FROM ranked r WHERE r.order_id = a.order_id AND rank <= 5 AND r.consequent = a.item) AS hit,
@@ -230,7 +215,7 @@ SELECT count(*) AS carts, sum(matched::INT)::BIGINT AS matched,
 def _(spark, sf):
     train, test = roles.train_test(spark, sf)
     carts = orders.hold_out_last(test, "order_id")
-    ranked = rules.rank_consequents(carts, rules.index_rules(pair_rules(train)), 5)
+    ranked = rules.rank_consequents(carts, rules.index_rules(mined_rules(train)), 5)
     report = rules.hit_at_k(carts, ranked, orders.popular_items(train, 5))
     return report.select("carts", "matched", *[F.round(c, 6).alias(c) for c in ("hit_matched", "hit_all", "hit_baseline")])
 

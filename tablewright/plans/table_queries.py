@@ -8,7 +8,7 @@ from tablewright.operators import frames, keyed
 from tablewright.operators.features import unseen_report
 from tablewright.operators.rules import with_rule_id
 from tablewright.plans import roles
-from tablewright.plans.order_queries import BRANDS, PAIR_RULES, pair_rules
+from tablewright.plans.order_queries import BRANDS, RULES, joined, mined_rules
 from tablewright.plans.registry import query
 from tablewright.session import scratch_path
 from tablewright.sources import tables
@@ -98,15 +98,15 @@ def _(spark, sf):
     return keyed.key_check(roles.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("keyed_rules", f"""WITH {BRANDS}, {PAIR_RULES.format(src='lines', support=roles.MIN_SUPPORT)}
-SELECT sha256(antecedent || chr(1) || consequent) AS rule_id, antecedent, consequent FROM rules""")
+@query("keyed_rules", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)}
+SELECT sha256(array_to_string(items, chr(2)) || chr(1) || consequent) AS rule_id, antecedent, consequent FROM rules""")
 def _(spark, sf):
     """Rules with a surrogate key, published as a checked snapshot."""
-    mined = pair_rules(roles.baskets(spark, sf))
+    mined = mined_rules(roles.baskets(spark, sf))
     path = scratch_path(spark, "rules")
     sync.publish(with_rule_id(mined), path, ["rule_id"], buckets=8)
     keyed_rules = sync.read_snapshot(spark, path)
-    return keyed_rules.select("rule_id", F.col("antecedent")[0].alias("antecedent"), "consequent")
+    return keyed_rules.select("rule_id", joined(), "consequent")
 
 
 OLD = "old AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P')"
