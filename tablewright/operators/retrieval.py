@@ -1,4 +1,4 @@
-"""Hashed text vectors, retrieval and prompt assembly."""
+"""Text vectors, retrieval through an inverted index, and prompt assembly."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.text import PROMPT, fill_template, format_passages
-from tablewright.operators.vectors import nearest
+from tablewright.operators.term_index import TermIndex, best_matches
 
 
 def fit_text_vectors(docs: DataFrame, text: str = "content", dimensions: int = 256) -> PipelineModel:
@@ -46,10 +46,6 @@ def assemble_prompts(hits: DataFrame, questions: DataFrame, docs: DataFrame, tem
     )
 
 
-def retrieve_context(questions: DataFrame, docs: DataFrame, model: PipelineModel, k: int = 3) -> DataFrame:
-    """Embed, search and assemble: questions ``(id, question)``, documents ``(id, content)``."""
-    text = model.stages[0].getInputCol()
-    asked = embed_text(model, questions.select(F.col("id").alias("query_id"), F.col("question").alias(text)))
-    known = embed_text(model, docs.select(F.col("id").alias("corpus_id"), F.col("content").alias(text)))
-    hits = nearest(asked.select("query_id", "vector"), known.select("corpus_id", "vector"), k, "cosine")
-    return assemble_prompts(hits, questions, docs)
+def retrieve_context(questions: DataFrame, docs: DataFrame, index: TermIndex, k: int = 3) -> DataFrame:
+    """Search and assemble: questions ``(id, question)``, documents ``(id, content)`` and their index."""
+    return assemble_prompts(best_matches(questions, index, k), questions, docs)

@@ -64,8 +64,8 @@ def best_in_block(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, metric: s
     )
 
 
-def merge_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, metric: str, digits: int) -> DataFrame:
-    """Run the block kernel on every pair of blocks with equal keys and merge the best k."""
+def block_hits(queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, metric: str, digits: int) -> DataFrame:
+    """Run the block kernel on every pair of blocks with equal keys: the best k of each."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     schema = T.StructType([
@@ -79,7 +79,12 @@ def merge_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], k: int,
             return pd.DataFrame({"query_id": [], "corpus_id": [], "score": []})
         return best_in_block(left, right, k, metric, digits)
 
-    found = queries.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInPandas(kernel, schema)
+    return queries.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInPandas(kernel, schema)
+
+
+def merge_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, metric: str, digits: int) -> DataFrame:
+    """The best k of all pairs of blocks with equal keys."""
+    found = block_hits(queries, corpus, keys, k, metric, digits)
     ranked = top_per_group(found, ["query_id"], [F.col("score").desc(), "corpus_id"], k)
     if metric == "l2":
         ranked = ranked.withColumn("score", -F.col("score"))

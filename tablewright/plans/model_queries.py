@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import text
 from tablewright.functions.columns import first_json_item, json_items
-from tablewright.operators import evaluate, factors, groups, retrieval, vectors
+from tablewright.operators import buckets, evaluate, factors, groups, retrieval, term_index, vectors
 from tablewright.operators.split import feature_target_split
 from tablewright.plans import roles
 from tablewright.plans.registry import query
 
-CELLS = 16
-
 NEIGHBOURS = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 pairs AS (SELECT a.vec_id AS query_id, b.vec_id AS corpus_id, round({score}, 6) AS score FROM v a CROSS JOIN v b),
 hits AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score {way}, corpus_id)::INTEGER AS rank,
@@ -40,14 +38,41 @@ def _(spark, sf):
 @query("knn_all_cells", f"WITH {NEIGHBOURS.format(score=COSINE, way='DESC', k=5)} SELECT * FROM hits")
 def _(spark, sf):
     asked, known = roles.question_vectors(spark, sf)
-    return vectors.nearest_in_cells(asked, known, 5, vectors.fit_cells(known, CELLS), probes=CELLS, block_rows=64)
+    cells = max(1, round(known.count() ** 0.5))
+    return vectors.nearest_in_cells(asked, known, 5, vectors.fit_cells(known, cells), probes=cells, block_rows=64)
+
+
+LSH = buckets.Tables(tables=20, cuts=3, width=1.5)
+IN_BUCKETS = f"""v AS (SELECT vec_id, embedding::DOUBLE[] AS e, len(embedding) AS n FROM embeddings),
+noise AS (SELECT j, d, n, sin(j * (2 * n + 1) + d + 1) * 10000 AS s
+  FROM (SELECT DISTINCT n FROM v), (SELECT unnest(range({LSH.tables * LSH.cuts})) AS j), (SELECT unnest(range(1000)) AS d) WHERE d < 2 * n + 1),
+uniform AS (SELECT j, d, n, s - floor(s) AS u FROM noise),
+cuts AS (
+  SELECT a.j, list(sqrt(-2 * ln(greatest(a.u, 1e-12))) * cos(2 * pi() * b.u) ORDER BY a.d) AS r, any_value(o.u) AS shift
+  FROM uniform a JOIN uniform b ON b.j = a.j AND b.d = a.d + a.n JOIN uniform o ON o.j = a.j AND o.d = 2 * o.n
+  WHERE a.d < a.n GROUP BY 1),
+placed AS (
+  SELECT vec_id, j // {LSH.cuts} AS t, list(floor(list_dot_product(e, r) / sqrt(list_dot_product(e, e)) / {LSH.width} + shift) ORDER BY j) AS bucket
+  FROM v CROSS JOIN cuts GROUP BY 1, 2),
+met AS (SELECT DISTINCT a.vec_id AS query_id, b.vec_id AS corpus_id FROM placed a JOIN placed b USING (t, bucket)),
+scored AS (SELECT query_id, corpus_id, round({COSINE}, 6) AS score
+  FROM met JOIN v a ON a.vec_id = query_id JOIN v b ON b.vec_id = corpus_id)"""
+
+
+@query("knn_buckets", f"""WITH {IN_BUCKETS}
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id)::INTEGER AS rank, corpus_id, score
+FROM scored QUALIFY rank <= 5""")
+def _(spark, sf):
+    """Neighbours among the vectors that share a bucket of tables of a given size."""
+    return buckets.nearest_by_tables(*roles.question_vectors(spark, sf), 5, LSH)
 
 
-@query("knn_recall")
+@query("knn_recall", "SELECT 5 * count(*) AS wanted, true AS at_least_nine_tenths FROM embeddings")
 def _(spark, sf):
+    """Whether tables chosen for the corpus find at least nine tenths of the exact neighbours."""
     asked, known = roles.question_vectors(spark, sf)
-    found = vectors.nearest_in_cells(asked, known, 5, vectors.fit_cells(known, CELLS), probes=6)
-    return vectors.recall(found, vectors.nearest(asked, known, 5, "cosine"))
+    report = vectors.recall(buckets.search(asked, known, 5), vectors.nearest(asked, known, 5, "cosine"))
+    return report.select("wanted", (F.col("recall") >= 0.9).alias("at_least_nine_tenths"))
 
 
 @query("als_vectors_topk")
@@ -92,15 +117,47 @@ def _(spark, sf):
     return found.select("id", F.md5(text.join_passages("passages")).alias("digest"))
 
 
-@query("retrieve_context")
+ASKED = """asked AS (SELECT conv_id AS id, arg_max(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY 1)"""
+TERMS = r"""said AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents),
+counts AS (SELECT id, term, count(*) AS n FROM said GROUP BY ALL),
+stats AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)) AS rarity FROM counts GROUP BY 1),
+d AS (SELECT id, term, n * rarity / sqrt(sum(n * rarity * n * rarity) OVER (PARTITION BY id)) AS weight FROM counts JOIN stats USING (term)),
+spoken AS (SELECT id, unnest(regexp_extract_all(lower(question), '[\p{L}\p{N}]+')) AS term FROM asked),
+q AS (SELECT id, term, n * rarity / sqrt(sum(n * rarity * n * rarity) OVER (PARTITION BY id)) AS weight
+  FROM (SELECT id, term, count(*) AS n FROM spoken GROUP BY ALL) JOIN stats USING (term)),
+alike AS (SELECT q.id AS query_id, d.id AS corpus_id, round(sum(q.weight * d.weight), 6) AS score FROM q JOIN d USING (term) GROUP BY ALL),
+hits AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id)::INTEGER AS rank, corpus_id, score
+  FROM alike QUALIFY rank <= 3)"""
+
+
+def last_questions(spark, sf):
+    said = roles.table(spark, sf, "conversations").where(F.col("role") == "user")
+    return said.groupBy(F.col("conv_id").alias("id")).agg(F.max_by("text", "turn").alias("question"))
+
+
+def known_texts(spark, sf):
+    return roles.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+
+
+@query("text_topk", f"WITH {ASKED}, {TERMS} SELECT * FROM hits")
+def _(spark, sf):
+    """The texts most like the last user turn of every conversation."""
+    return term_index.best_matches(last_questions(spark, sf), term_index.build_index(known_texts(spark, sf)), 3)
+
+
+@query("retrieve_context", f"""WITH {ASKED}, {TERMS},
+p AS (SELECT query_id, count(*) AS n_passages, string_agg('{text.PASSAGE[0]}' || text || chr(10), '' ORDER BY rank) AS context
+  FROM hits JOIN documents ON doc_id = corpus_id GROUP BY 1),
+f AS (SELECT id, n_passages, replace('{text.PROMPT}', '{{context}}', context) AS prompt FROM asked JOIN p ON query_id = id)
+SELECT id, n_passages, length(prompt) AS n_chars, md5(prompt) AS digest FROM f""")
 def _(spark, sf):
     """Prompts for the last user turn of every conversation, over all documents."""
-    said = roles.table(spark, sf, "conversations").where(F.col("role") == "user")
-    questions = said.groupBy(F.col("conv_id").alias("id")).agg(F.max_by("text", "turn").alias("question"))
-    docs = roles.texts(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
-    model = retrieval.fit_text_vectors(docs)
-    found = retrieval.retrieve_context(questions, docs, model, k=3)
-    return found.select("id", F.size("passages").alias("n_passages"), F.length("system_prompt").alias("n_chars"))
+    docs = known_texts(spark, sf)
+    found = retrieval.retrieve_context(last_questions(spark, sf), docs, term_index.build_index(docs), k=3)
+    return found.select(
+        "id", F.size("passages").cast("long").alias("n_passages"), F.length("system_prompt").cast("long").alias("n_chars"),
+        F.md5("system_prompt").alias("digest"),
+    )
 
 
 @query("last_turn", """SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, md5(arg_max(text, turn)) AS digest

@@ -1,9 +1,14 @@
+import math
+import random
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import dot, l2_normalize
-from tablewright.operators import retrieval, vectors
+from tablewright.operators import buckets, retrieval, term_index, vectors
 
 
 def make(spark, matrix, name):
@@ -85,14 +90,86 @@ TWEETS = [
 ]
 
 
+def python_matches(queries, docs, k):
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    df = Counter(w for _, t in docs for w in set(words(t)))
+    rarity = {w: math.log((len(docs) + 1) / (n + 1)) for w, n in df.items()}
+
+    def unit(text):
+        raw = {w: n * rarity[w] for w, n in Counter(words(text)).items() if w in rarity}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / norm for w, x in raw.items()} if norm else {}
+
+    out, vectors_ = [], [(i, unit(t)) for i, t in docs]
+    for q, text in queries:
+        mine = unit(text)
+        scores = [(round(sum(x * v[w] for w, x in mine.items() if w in v), 6), i) for i, v in vectors_ if mine.keys() & v.keys()]
+        out += [(q, r + 1, i, s) for r, (s, i) in enumerate(sorted(scores, key=lambda p: (-p[0], p[1]))[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_index_finds_what_a_full_scan_finds(spark, k):
+    draw = random.Random(k)
+    sometimes = [f"w{i}" for i in range(60)]
+    text = lambda n: " ".join(draw.choices(sometimes, [1 / (i + 1) for i in range(60)], k=n))
+    docs = [(i, text(draw.randint(1, 30))) for i in range(300)] + [(300, None), (301, ""), (302, "Größe, 漢字 w59"), (303, "w59"), (304, "w59")]
+    queries = [(i, text(draw.randint(1, 8))) for i in range(40)] + [(40, None), (41, "unheard of"), (42, "größe W59 w59")]
+    index = term_index.build_index(spark.createDataFrame(docs, "id bigint, content string").repartition(3))
+    found = term_index.best_matches(spark.createDataFrame(queries, "id bigint, question string"), index, k)
+    assert sorted(map(tuple, found.collect())) == python_matches(queries, docs, k)
+
+
+def test_index_without_texts(spark):
+    docs = spark.createDataFrame([], "id bigint, content string")
+    asked = spark.createDataFrame([(1, "a b")], "id bigint, question string")
+    assert term_index.best_matches(asked, term_index.build_index(docs), 3).collect() == []
+
+
+def test_tables_get_finer_with_more_rows_and_reach_the_recall():
+    draw = np.random.default_rng(1)
+    near, other = np.abs(draw.normal(0.6, 0.1, 2000)), draw.normal(1.41, 0.1, 2000)
+    shares = []
+    for rows in (10**3, 10**6, 10**9):
+        tables = buckets.choose_tables(near, other, rows, 0.9)
+        p = buckets.shared_step(near, tables.width)
+        assert 1 - ((1 - p**tables.cuts) ** tables.tables).mean() >= 0.9
+        shares.append((tables.tables * buckets.shared_step(other, tables.width) ** tables.cuts).mean())
+    assert shares == sorted(shares, reverse=True) and shares[-1] < 0.01 * shares[0]
+
+
+def test_shared_steps_come_as_often_as_computed():
+    directions, offsets = buckets.projections(20_000, 3)
+    for distance in (0.2, 1.0, 1.8):
+        a, b = np.array([1.0, 0, 0]), np.array([1.0 - distance, 0, 0])
+        same = np.floor(directions @ a / 1.5 + offsets) == np.floor(directions @ b / 1.5 + offsets)
+        assert same.mean() == pytest.approx(buckets.shared_step(np.array([distance]), 1.5)[0], abs=0.02)
+
+
+def test_buckets_find_clustered_neighbours_among_few(spark):
+    draw = np.random.default_rng(4)
+    centres = draw.standard_normal((60, 16))
+    corpus = np.concatenate([c + 0.05 * draw.standard_normal((10, 16)) for c in centres] + [np.zeros((1, 16))])
+    known, asked = make(spark, corpus, "corpus_id"), make(spark, corpus[::7], "query_id")
+    tables = buckets.Tables(6, 4, 0.75)
+    report = vectors.recall(buckets.nearest_by_tables(asked, known, 5, tables, block_rows=8), vectors.nearest(asked, known, 5)).first()
+    assert report.recall > 0.9
+    found = tables.buckets()
+    placed = known.select("corpus_id", F.explode(found("vector")).alias("b"))
+    pairs = placed.join(placed.withColumnRenamed("corpus_id", "other"), "b").select("corpus_id", "other").distinct().count()
+    assert pairs < 0.1 * len(corpus) ** 2
+    chosen = vectors.recall(buckets.search(asked, known, 5), vectors.nearest(asked, known, 5)).first()
+    assert chosen.recall >= 0.9
+
+
 def test_retrieve_context(spark):
     docs = spark.createDataFrame(TWEETS, "id bigint, content string")
     model = retrieval.fit_text_vectors(docs, dimensions=1024)
     unit = retrieval.embed_text(model, docs).select(F.sqrt(dot("vector", "vector")).alias("n")).collect()
     assert [r.n for r in unit] == pytest.approx([1.0] * 5, abs=1e-5)
     questions = spark.createDataFrame([(7, "money {question}"), (8, "movie tonight")], "id bigint, question string")
-    got = {r.id: r for r in retrieval.retrieve_context(questions, docs, model, k=2).collect()}
+    got = {r.id: r for r in retrieval.retrieve_context(questions, docs, term_index.build_index(docs), k=2).collect()}
     assert {p.split()[0] for p in got[7].passages} == {"robbers", "the"}
-    assert got[8].passages[0] == "a great movie tonight"
+    assert got[8].passages == ["a great movie tonight"]
     assert got[8].system_prompt.endswith(
         "Context: " + "".join(f"Passage: {p}\n" for p in got[8].passages))
