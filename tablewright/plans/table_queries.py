@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import frames, keyed
+from tablewright.operators import frames, keyed, retrieval
 from tablewright.operators.features import unseen_report
 from tablewright.operators.rules import with_rule_id
 from tablewright.plans import roles
 from tablewright.plans.order_queries import BRANDS, RULES, joined, mined_rules
 from tablewright.plans.registry import query
-from tablewright.session import scratch_path
+from tablewright.session import cut_lineage, scratch_path
 from tablewright.sources import tables
-from tablewright.streaming import sync
+from tablewright.streaming import requests, sync
 
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -101,11 +101,11 @@ def _(spark, sf):
 @query("keyed_rules", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)}
 SELECT sha256(array_to_string(items, chr(2)) || chr(1) || consequent) AS rule_id, antecedent, consequent FROM rules""")
 def _(spark, sf):
-    """Rules with a surrogate key, published as a checked snapshot."""
+    """Rules with a surrogate key, published as a checked table."""
     mined = mined_rules(roles.baskets(spark, sf))
     path = scratch_path(spark, "rules")
-    sync.publish(with_rule_id(mined), path, ["rule_id"], buckets=8)
-    keyed_rules = sync.read_snapshot(spark, path)
+    sync.publish(with_rule_id(mined), path, ["rule_id"], parts=8)
+    keyed_rules = sync.read_table(spark, path)
     return keyed_rules.select("rule_id", joined(), "consequent")
 
 
@@ -140,13 +140,68 @@ def _(spark, sf):
         F.col("c_custkey").alias("o_custkey"), F.lit(-1).cast("bigint").alias("o_orderkey"),
         F.lit(None).cast("timestamp_ntz").alias("o_orderdate"),
     )
-    sync.publish(start, f"{path}/table", ["o_custkey"], buckets=8)
+    sync.publish(start, f"{path}/table", ["o_custkey"], parts=8)
     log = sync.read_file_stream(spark, sf, roles.table(spark, sf, "orders").schema, pattern="orders.parquet").select(
         "o_custkey", "o_orderkey", "o_orderdate",
         F.when(F.col("o_orderstatus") == "F", "delete").otherwise("update").alias("change_type"),
     )
     sync.triggered_sync(log, f"{path}/table", ["o_custkey"], F.struct("o_orderdate", "o_orderkey"), f"{path}/checkpoint")
-    return sync.read_snapshot(spark, f"{path}/table").select("o_custkey", "o_orderkey")
+    return sync.read_table(spark, f"{path}/table").select("o_custkey", "o_orderkey")
+
+
+@query("index_sync", """SELECT doc_id, lang IN ('de', 'fr') AS embedded_again, true AS as_rebuilt FROM documents WHERE lang <> 'es'""")
+def _(spark, sf):
+    """A vector index kept up by changes: French texts are new, German ones are other texts, Spanish ones go."""
+    path, lang = scratch_path(spark, "index"), F.col("lang")
+    docs = roles.table(spark, sf, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("content"))
+    old = docs.where(lang != "fr")
+    changed = F.when(lang == "de", F.reverse("content")).otherwise(F.col("content"))
+    new = docs.where(lang != "es").withColumn("content", changed).drop("lang")
+    model = retrieval.fit_text_vectors(old)
+    sync.publish(retrieval.embed_text(model, old).select("doc_id", "vector"), f"{path}/index", ["doc_id"], parts=8)
+    kind = F.when(lang == "es", "delete").when(lang == "de", "update").otherwise("insert").alias("change_type")
+    # each changed text arrives twice in one batch, its last version second
+    steps = F.explode(F.array(F.struct(F.lit(1).alias("at"), F.lit("a draft").alias("content")), F.struct(F.lit(2).alias("at"), changed.alias("content"))))
+    log = docs.where(lang.isin("de", "fr", "es")).select("doc_id", kind, steps.alias("s")).select("doc_id", "change_type", "s.*")
+    log.write.parquet(f"{path}/log")
+    stream = sync.read_file_stream(spark, f"{path}/log", log.schema)
+    sync.index_sync(stream, f"{path}/index", model, "doc_id", "content", "at", f"{path}/checkpoint")
+    rebuilt = retrieval.embed_text(model, new).select("doc_id", F.col("vector").alias("wanted"))
+    found = sync.read_table(spark, f"{path}/index", with_batch=True)
+    return found.join(rebuilt, "doc_id", "full_outer").select(
+        "doc_id", (F.col(sync.BATCH) >= 0).alias("embedded_again"), F.col("vector").eqNullSafe(F.col("wanted")).alias("as_rebuilt")
+    )
+
+
+LATE_LOG = """days AS (SELECT event_id, ts, date_diff('day', (SELECT min(ts) FROM events)::DATE, ts::DATE) // 5 AS day FROM events),
+log AS (
+  SELECT event_id, ts, CASE event_type WHEN 'error' THEN day + 1 WHEN 'signup' THEN day + 5 ELSE day END AS file FROM days
+  JOIN events USING (event_id, ts)
+  UNION ALL SELECT event_id, ts, day + 1 FROM days JOIN events USING (event_id, ts) WHERE event_type = 'purchase'),
+files AS (SELECT file, max(ts) AS newest, row_number() OVER (ORDER BY file) AS batch FROM log GROUP BY 1),
+marks AS (SELECT file, date_trunc('millisecond', max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+  - INTERVAL 7 DAY AS mark FROM files)"""
+
+
+@query("usage_late_log", f"""WITH {LATE_LOG}
+SELECT event_id, min(log.file)::INTEGER AS file FROM log JOIN marks ON marks.file = log.file
+WHERE mark IS NULL OR ts > mark GROUP BY 1""")
+def _(spark, sf):
+    """Events arrive in files of five days: errors one file late, sign-ups five, which is too late, purchases twice."""
+    path, kind = scratch_path(spark, "late"), F.col("event_type")
+    events = roles.table(spark, sf, "events")
+    # one row: the first day
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]
+    day = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / 5)
+    files = F.when(kind == "error", F.array(day + 1)).when(kind == "signup", F.array(day + 5)).when(
+        kind == "purchase", F.array(day, day + 1)).otherwise(F.array(day))
+    log = cut_lineage(events.select("event_id", "ts", F.explode(files.cast("array<int>")).alias("file")))
+    for file in sorted(r["file"] for r in log.select("file").distinct().collect()):  # a file for every five days
+        log.where(F.col("file") == file).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    stream = sync.read_file_stream(spark, f"{path}/log", log.schema, files_per_batch=1)
+    accepted = requests.accepted_requests(stream, "event_id", "7 days").select("event_id", "file")
+    sync.incremental_append(accepted, f"{path}/accepted", f"{path}/checkpoint")
+    return spark.read.schema("event_id long, file int").parquet(f"{path}/accepted")
 
 
 @query("incremental_append", "SELECT event_id, event_type FROM events")

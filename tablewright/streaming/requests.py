@@ -18,6 +18,15 @@ def stream_usage(requests: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return usage_per_minute(timed.withWatermark("ts", lateness))
 
 
+def accepted_requests(requests: DataFrame, key: str, lateness: str = LATENESS) -> DataFrame:
+    """A streamed log without repeated requests, and without rows that come after the lateness has passed.
+
+    A batch's rows are late by the newest time that had been seen when the batch before it began. A request's key is remembered for as long as a repetition may still arrive, so state does not grow with the log.
+    """
+    timed = requests.withColumn("ts", F.col("ts").cast("timestamp"))
+    return timed.withWatermark("ts", lateness).dropDuplicatesWithinWatermark([key])
+
+
 def write_usage(usage: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append closed minutes to a Parquet table."""
     query = (

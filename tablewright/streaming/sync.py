@@ -1,110 +1,71 @@
-"""Keeping a keyed serving table up to date from files that arrive.
+"""Keeping a keyed table up to date from files that arrive.
 
-The table lies in Parquet folders, one per version and hash bucket of the key,
-next to a small table of pointers that says which version of each bucket is in
-force. A batch rewrites only the buckets it touches. A version counts once its
-pointers are there, so a reader never sees half of one, and a batch that runs
-again after a failure leaves the same rows.
+The table is plain Parquet, partitioned by a hash of its key; the partition column's name tells their number. A batch
+reads the partitions that its changes touch, writes them to a staged copy beside the stream's checkpoint, and overwrites
+just these partitions with it. A batch that runs again finds its staged copy, or applies the same changes once more; both
+leave the same rows. Deleted keys stay as marked rows until their partition is written next, as an overwrite needs a row
+for every partition that it replaces.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from tablewright.operators.keyed import apply_changes, change_feed, newest_per_key, require_key
 from tablewright.operators.retrieval import embed_text
 
-POINTERS = "version bigint, bucket int, rows bigint, buckets int, schema_json string"
-BUCKETS = 64
+PARTS = 64
+PART_OF = "part_of_"
+#: The stream batch that last wrote a row (-1: published), and whether the row only marks a deleted key.
+BATCH, DELETED = "written_by_batch", "is_deleted"
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def placed(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    return df.withColumn(f"{PART_OF}{parts}", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
 
 
-def bucket_path(path: str, version: int, bucket: int) -> str:
-    return f"{path}/data/version={version}/__bucket={bucket}"
+def part_column(df: DataFrame) -> str:
+    return next(c for c in df.columns if c.startswith(PART_OF))
 
 
-def pointers_in_force(spark: SparkSession, path: str, at_most: int | None = None) -> list[Row]:
-    """The newest pointer of every bucket, up to a version; empty without a table."""
-    try:
-        pointers = spark.read.schema(POINTERS).parquet(f"{path}/pointers")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return []
-    if at_most is not None:
-        pointers = pointers.where(F.col("version") <= at_most)
-    fields = F.struct("version", "rows", "buckets", "schema_json")
-    newest = pointers.groupBy("bucket").agg(F.max_by(fields, "version").alias("p"))
-    return newest.select("bucket", "p.*").collect()
+def file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def read_buckets(spark: SparkSession, path: str, pointers: Sequence[Row], only: set[int] | None = None) -> DataFrame:
-    newest = max(pointers, key=lambda p: p["version"])
-    schema = T.StructType.fromJson(json.loads(newest["schema_json"]))
-    paths = [
-        bucket_path(path, p["version"], p["bucket"])
-        for p in pointers
-        if p["rows"] and (only is None or p["bucket"] in only)
-    ]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
 
 
-def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The table as of a version, by default the newest."""
-    pointers = pointers_in_force(spark, path, version)
-    if not pointers:
-        raise FileNotFoundError(f"no table at {path}")
-    return read_buckets(spark, path, pointers)
+def publish(df: DataFrame, path: str, keys: Sequence[str], parts: int = PARTS) -> None:
+    """Write a whole table after checking its key. A key's partition may be any size; its files are split by size."""
+    marked = require_key(df, keys).withColumn(BATCH, F.lit(-1).cast("long")).withColumn(DELETED, F.lit(False))
+    rows = placed(marked, keys, parts)
+    rows.hint("rebalance", part_column(rows)).write.mode("overwrite").partitionBy(part_column(rows)).parquet(path)
 
 
-def write_version(
-    df: DataFrame, path: str, version: int, keys: Sequence[str], buckets: int, touched: set[int], splits: int = 1
-) -> None:
-    """Write the touched buckets, then the pointers that put them in force.
-
-    ``splits`` is the number of tasks and files per bucket.
-    """
-    spark = df.sparkSession
-    placed = df.withColumn("__bucket", bucket_of(keys, buckets))
-    part = F.pmod(F.xxhash64(*keys, F.lit(1)), F.lit(splits))
-    data = f"{path}/data/version={version}"
-    placed.repartition("__bucket", part).write.mode("overwrite").partitionBy("__bucket").parquet(data)
-    schema = T.StructType([*placed.schema.fields])
-    written = spark.read.schema(schema).parquet(data).groupBy("__bucket").count().collect()
-    rows = {r["__bucket"]: r["count"] for r in written}
-    text = df.schema.json()
-    pointers = [(version, b, rows.get(b, 0), buckets, text) for b in sorted(touched)]
-    spark.createDataFrame(pointers, POINTERS).coalesce(1).write.mode("append").parquet(f"{path}/pointers")
-
-
-def publish(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, splits: int = 1) -> int:
-    """Write a whole table as the next version after checking its key.
-
-    A table that is kept up by :func:`triggered_sync` is published once, before the first sync.
-    """
-    known = pointers_in_force(df.sparkSession, path)
-    version = max(p["version"] for p in known) + 1 if known else 0
-    write_version(require_key(df, keys), path, version, keys, buckets, set(range(buckets)), splits)
-    return version
+def read_table(spark: SparkSession, path: str, with_batch: bool = False) -> DataFrame:
+    """The rows in force, with ``written_by_batch`` on request."""
+    rows = spark.read.parquet(path)
+    return rows.where(~F.col(DELETED)).drop(DELETED, part_column(rows), *([] if with_batch else [BATCH]))
 
 
 def read_file_stream(
-    spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet", pattern: str | None = None
+    spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet", pattern: str | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
 
 
@@ -122,44 +83,79 @@ def run_available(
     return query
 
 
+def merged_parts(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """The new rows of the partitions that ``changes`` touch. A table that is not there yet is empty."""
+    current = spark.read.parquet(target) if exists(spark, target) else None
+    parts = int(part_column(current).removeprefix(PART_OF)) if current else parts
+    marked = placed(changes.withColumn(DELETED, F.col("change_type") == "delete").drop("change_type"), keys, parts)
+    if current is None:
+        return marked
+    part = part_column(current)
+    # at most as many rows as the table has partitions
+    touched = F.broadcast(marked.select(part).distinct())
+    live = current.where(~F.col(DELETED)).join(touched, part, "left_semi")
+    kept = live.join(marked.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(marked.select(*current.columns))
+
+
 def triggered_sync(
     stream: DataFrame,
     target: str,
     keys: Sequence[str],
     order: str | Column,
     checkpoint: str,
-    buckets: int = BUCKETS,
-    splits: int = 1,
+    parts: int = PARTS,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Apply arrived changes to the table; it keeps the bucket count it was published with.
+    """Apply arrived changes to the table; it keeps the number of partitions that it was published with.
 
-    The stream holds the table's columns and ``change_type``; the last change of
-    a key by ``order`` wins. Each batch writes the version after the newest one, whatever its
-    number in the stream, so that a stream with a new checkpoint builds on what others wrote.
-    A batch that runs again sets the same rows again. One stream at a time may write a table.
+    The stream holds the table's columns and ``change_type``; the last change of a key by ``order`` wins. ``prepare``
+    turns the last changes of a batch into the table's columns and ``change_type``. One stream at a time may write a table.
     """
-    spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        pointers = pointers_in_force(spark, target)
-        version = max((p["version"] for p in pointers), default=0) + 1
-        count = pointers[0]["buckets"] if pointers else buckets
-        changes = newest_per_key(batch, keys, order).persist()
-        try:
-            touched = {r[0] for r in changes.select(bucket_of(keys, count)).distinct().collect()}
-            if pointers:
-                current = read_buckets(spark, target, pointers, touched)
-            else:
-                columns = [c for c in batch.columns if c != "change_type"]
-                current = spark.createDataFrame([], batch.select(*columns).schema)
-            merged = apply_changes(current, changes, keys)
-            write_version(merged, target, version, keys, count, touched, splits)
-        finally:
-            changes.unpersist()
+        spark = batch.sparkSession
+        staged = f"{checkpoint.rstrip('/')}-staged/batch={batch_id}"
+        if not exists(spark, f"{staged}/_SUCCESS"):
+            changes = newest_per_key(batch, keys, order)
+            changes = (prepare(changes) if prepare else changes).withColumn(BATCH, F.lit(batch_id).cast("long"))
+            changes = changes.persist()
+            try:
+                rows = merged_parts(spark, target, changes, keys, parts)
+                part = part_column(rows)
+                rows.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(staged)
+            finally:
+                changes.unpersist()
+        fs, at = file_system(spark, staged)
+        if any(f.isDirectory() for f in fs.listStatus(at)):  # a batch without rows has no partitions
+            rows = spark.read.parquet(staged)
+            part = part_column(rows)
+            writer = rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(part).parquet(target)
+        fs.delete(at, True)
 
     return run_available(stream, checkpoint, handle)
 
 
+def index_sync(
+    stream: DataFrame, target: str, model: PipelineModel, key: str, text: str, order: str | Column, checkpoint: str,
+    parts: int = PARTS,
+) -> StreamingQuery:
+    """Keep an index ``(key, vector)`` up to date with documents that change; only changed texts are embedded.
+
+    The stream holds the key, the text, ``change_type`` and what ``order`` needs; of several changes of a document in one
+    batch only the last is embedded. A null text is embedded as an empty one.
+    """
+
+    def embedded(changes: DataFrame) -> DataFrame:
+        gone = F.col("change_type") == "delete"
+        rows = changes.select(key, "change_type", F.coalesce(text, F.lit("")).alias(text))
+        fresh = embed_text(model, rows.where(~gone)).select(key, "change_type", "vector")
+        return fresh.unionByName(rows.where(gone).select(key, "change_type", F.lit(None).cast("array<float>").alias("vector")))
+
+    return triggered_sync(stream, target, [key], order, checkpoint, parts, embedded)
+
+
 def incremental_append(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Add arrived rows to a Parquet table, each exactly once."""
     query = (

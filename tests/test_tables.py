@@ -37,27 +37,41 @@ def test_change_feed_and_apply(spark):
     assert sorted(map(tuple, keyed.apply_changes(new, back, ["k"]).collect())) == sorted(map(tuple, old.collect()))
 
 
+def lose_last_commit(marks, away):
+    """The stream as after a failure between the write of a batch and its commit."""
+    commits = sorted((f for f in os.listdir(f"{marks}/commits") if f.isdigit()), key=int)
+    os.replace(f"{marks}/commits/{commits[-1]}", f"{away}/lost")
+    for name in os.listdir(f"{marks}/commits"):
+        if name.startswith(f".{commits[-1]}."):
+            os.replace(f"{marks}/commits/{name}", f"{away}/lost.crc")
+    return int(commits[-1])
+
+
 def test_sync_equals_batch_and_survives_a_rerun(spark, tmp_path):
     source, target, marks = (str(tmp_path / d) for d in ("in", "table", "marks"))
     schema = "k int, v string, t int, change_type string"
-    sync.publish(spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, t int"), target, ["k"])
+    sync.publish(spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, t int"), target, ["k"], parts=2)
 
     def arrive(rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
         sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", marks)
-        return {tuple(r) for r in sync.read_snapshot(spark, target).collect()}
+        return {tuple(r) for r in sync.read_table(spark, target).collect()}
 
     assert arrive([(1, "A", 1, "update"), (1, "AA", 2, "update"), (3, "c", 1, "insert")]) == {(1, "AA", 2), (2, "b", 0), (3, "c", 1)}
-    assert arrive([(2, None, 3, "delete"), (4, "d", 1, "insert")]) == {(1, "AA", 2), (3, "c", 1), (4, "d", 1)}
-    assert {tuple(r) for r in sync.read_snapshot(spark, target, 0).collect()} == {(1, "a", 0), (2, "b", 0)}
-    # the last batch again, as after a failure between the write and the commit
-    commits = sorted(f for f in os.listdir(f"{marks}/commits") if f.isdigit())
-    os.replace(f"{marks}/commits/{commits[-1]}", str(tmp_path / "lost"))
-    for name in os.listdir(f"{marks}/commits"):
-        if name.startswith(f".{commits[-1]}."):
-            os.replace(f"{marks}/commits/{name}", str(tmp_path / "lost.crc"))
-    sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", marks)
-    assert {tuple(r) for r in sync.read_snapshot(spark, target).collect()} == {(1, "AA", 2), (3, "c", 1), (4, "d", 1)}
+    wanted = {(1, "AA", 2), (3, "c", 1), (4, "d", 1)}
+    assert arrive([(2, None, 3, "delete"), (4, "d", 1, "insert")]) == wanted
+    batch = lose_last_commit(marks, tmp_path)
+    assert arrive([]) == wanted
+    # a staged copy that a failed run left behind is taken as it is
+    lose_last_commit(marks, tmp_path)
+    staged = sync.placed(spark.createDataFrame([(9, "left", 9, batch, False)], f"k int, v string, t int, {sync.BATCH} long, {sync.DELETED} boolean"), ["k"], 2)
+    staged.write.partitionBy("part_of_2").parquet(f"{marks}-staged/batch={batch}")
+    assert (9, "left", 9) in arrive([])
+    assert os.listdir(f"{marks}-staged") == []
+    # a partition whose keys are all deleted has no rows in force
+    assert arrive([(k, None, 10, "delete") for k in (1, 2, 3, 4, 9)]) == set()
+    assert arrive([(1, "again", 11, "insert")]) == {(1, "again", 11)}
 
 
 def test_a_stream_with_a_new_checkpoint_builds_on_the_table(spark, tmp_path):
@@ -67,30 +81,41 @@ def test_a_stream_with_a_new_checkpoint_builds_on_the_table(spark, tmp_path):
         source = str(tmp_path / name)
         spark.createDataFrame([change], schema).write.parquet(source)
         sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", str(tmp_path / f"{name}-marks"))
-    assert {tuple(r) for r in sync.read_snapshot(spark, target).collect()} == {(1, "first", 1), (2, "second", 1)}
+    assert {tuple(r) for r in sync.read_table(spark, target).collect()} == {(1, "first", 1), (2, "second", 1)}
 
 
-def test_sync_rewrites_only_touched_buckets(spark, tmp_path):
+def test_sync_rewrites_only_touched_partitions(spark, tmp_path):
     source, target, marks = (str(tmp_path / d) for d in ("in", "table", "marks"))
     start = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("t"))
-    sync.publish(start, target, ["k"], buckets=16)
+    sync.publish(start, target, ["k"], parts=16)
+    files = lambda: {os.path.join(d, f) for d, _, names in os.walk(target) for f in names if f.endswith(".parquet")}
+    before = files()
     schema = "k int, t int, change_type string"
     spark.createDataFrame([(7, 1, "update")], schema).write.parquet(source)
-    sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", marks)
-    folders = os.listdir(f"{target}/data/version=1")
-    assert len([f for f in folders if f.startswith("__bucket=")]) == 1
-    got = {r.k: r.t for r in sync.read_snapshot(spark, target).collect()}
+    sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", marks, parts=4)
+    assert len({os.path.dirname(f) for f in before ^ files()}) == 1 and len(before) >= 16
+    got = {r.k: r.t for r in sync.read_table(spark, target).collect()}
     assert got == {i: int(i == 7) for i in range(200)}
 
 
 def test_sync_into_nothing(spark, tmp_path):
     source, target, marks = (str(tmp_path / d) for d in ("in", "table", "marks"))
-    with pytest.raises(FileNotFoundError):
-        sync.read_snapshot(spark, target)
     schema = "k int, t int, change_type string"
     spark.createDataFrame([(1, 1, "insert"), (2, 1, "insert"), (2, 2, "delete")], schema).write.parquet(source)
     sync.triggered_sync(sync.read_file_stream(spark, source, schema), target, ["k"], "t", marks)
-    assert [tuple(r) for r in sync.read_snapshot(spark, target).collect()] == [(1, 1)]
+    assert [tuple(r) for r in sync.read_table(spark, target).collect()] == [(1, 1)]
+
+
+def test_accepted_requests(spark, tmp_path):
+    source, day = str(tmp_path / "in"), dt.datetime(2024, 1, 1)
+    schema = "ts timestamp_ntz, id int"
+    at = lambda minutes: day + dt.timedelta(minutes=minutes)
+    # a repetition in the second file; in the third a late row and one that is too late, as the mark is 120 - 60
+    for rows in ([(at(0), 1), (at(0), 1), (at(120), 2)], [(at(120), 2), (at(200), 5)], [(at(61), 3), (at(60), 4), (at(200), 5)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    accepted = requests.accepted_requests(sync.read_file_stream(spark, source, schema, files_per_batch=1), "id")
+    sync.incremental_append(accepted, str(tmp_path / "out"), str(tmp_path / "marks"))
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3, 5]
 
 
 def test_incremental_append_reads_each_file_once(spark, tmp_path):
