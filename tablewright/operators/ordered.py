@@ -108,68 +108,57 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
-def index_percentiles(
-    df: DataFrame,
-    metrics: Sequence[str],
-    percents: Sequence[int],
-    accuracy: int = 100_000,
-) -> DataFrame:
+#: Buckets of a counting pass after the first; five such passes tell all numbers between two powers of two apart.
+BUCKETS = 4096
+_SCALE = 1100  # above the exponent of any double, so that buckets of positive and negative numbers stay apart
+
+
+def magnitude(value: Column) -> Column:
+    """A whole number that grows with the value: its sign and power of two."""
+    size = F.abs(value)
+    power = F.when(size == float("inf"), 2 * _SCALE).otherwise(F.floor(F.log2(size)) + _SCALE)
+    return F.when(value == 0, 0).when(value > 0, power).otherwise(-power).cast("long")
+
+
+def index_percentiles(df: DataFrame, metrics: Sequence[str], percents: Sequence[int]) -> DataFrame:
     """Value at index ``floor(n * p / 100)`` of each sorted metric, nulls and NaN ignored.
 
-    One row per metric and percent, with ``n``, ``avg`` and ``max``. A quantile
-    sketch cuts each metric's values into sections, with a narrow one around every
-    wanted index. Sections are counted exactly, so the one that holds an index is
-    known whatever the sketch's error, and only its distinct values are sorted.
+    One row per metric and percent, with ``n``, ``avg`` and ``max``. Nothing is sorted: values are counted by sign and
+    power of two, then those in the bucket that holds an index are counted again in finer buckets between its least and
+    largest value, until these are the same. That takes six passes at most, for any number of values, and each pass
+    goes over the values of the last one's buckets only.
     """
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-                    for m in metrics
-                ]
-            )
-        ).alias("__m")
-    ).select("__m.metric", "__m.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    edges = []
-    for p in percents:
-        edges += [max(0.0, p / 100 - 2 / accuracy), min(1.0, p / 100 + 2 / accuracy)]
-    stats = long.groupBy("metric").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("value").alias("avg"),
-        F.max("value").alias("max"),
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("__edges"),
-    )
-    # one row per metric, as given by the caller
-    section = F.size(F.filter("__edges", lambda e: e < F.col("value")))
-    cut = long.join(F.broadcast(stats.select("metric", "__edges")), "metric").select(
-        "metric", "value", section.alias("section")
-    )
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(p).alias("percent"), F.least(F.floor(F.col("n") * p / 100), F.col("n") - 1).alias("target")
-                )
-                for p in percents
-            ]
-        )
-    )
-    targets = stats.select("metric", "n", "avg", "max", wanted.alias("__t")).select("metric", "n", "avg", "max", "__t.*")
-    # at most two sections per percent and one more for each metric
-    by_section = Window.partitionBy("metric").orderBy("section")
-    sections = cut.groupBy("metric", "section").agg(F.count(F.lit(1)).alias("rows")).select(
-        "metric", "section", F.sum("rows").over(by_section).alias("through"), "rows"
-    )
-    held = targets.join(sections, "metric").where(
-        (F.col("target") < F.col("through")) & (F.col("target") >= F.col("through") - F.col("rows"))
-    )
-    counts = cut.join(F.broadcast(held), ["metric", "section"]).groupBy(
-        "metric", "percent", "n", "avg", "max", (F.col("target") - F.col("through") + F.col("rows")).alias("target"), "value"
-    ).agg(F.count(F.lit(1)).alias("c"))
-    upto = Window.partitionBy("metric", "percent").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = counts.withColumn("upto", F.sum("c").over(upto)).where(F.col("upto") > F.col("target"))
-    return reached.groupBy("metric", "percent").agg(
-        F.first("n").alias("n"), F.first("avg").alias("avg"), F.first("max").alias("max"),
-        F.min("value").alias("value"),
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), (F.col(m).cast("double") + 0.0).alias("value")) for m in metrics])
+    long = df.select(F.explode(pairs).alias("__m")).select("__m.metric", "__m.value")
+    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counted = [F.count(F.lit(1)).alias("c"), F.min("value").alias("lo"), F.max("value").alias("hi")]
+    first = cut_lineage(long.groupBy("metric", magnitude(F.col("value")).alias("bucket")).agg(*counted, F.sum("value").alias("total")))
+    stats = first.groupBy("metric").agg(
+        F.sum("c").alias("n"), (F.sum("total") / F.sum("c")).alias("avg"), F.max("hi").alias("max")
     )
+    aim = F.explode(F.array(*[
+        F.struct(F.lit(p).alias("percent"), F.least(F.floor(F.col("n") * p / 100), F.col("n") - 1).alias("target"))
+        for p in percents
+    ]))
+    wanted = stats.select("metric", "n", "avg", "max", aim.alias("a")).select("metric", "n", "avg", "max", "a.percent", "a.target")
+    named = ["metric", "percent", "n", "avg", "max"]
+
+    def holding(buckets: DataFrame) -> DataFrame:
+        """The bucket that holds each target, and the target's index in it."""
+        before = Window.partitionBy("metric", "percent").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        placed = buckets.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+        inside = (F.col("target") >= F.col("before")) & (F.col("target") < F.col("before") + F.col("c"))
+        return placed.where(inside).select(*named, (F.col("target") - F.col("before")).alias("target"), "lo", "hi")
+
+    # a row per metric and percent, and a few thousand buckets for each
+    held = cut_lineage(holding(first.select("metric", "bucket", "c", "lo", "hi").join(wanted, "metric")))
+    done, values, keys = held.where("lo = hi"), long, ["metric"]
+    while not (held := held.where("lo < hi")).isEmpty():
+        inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
+        values = cut_lineage(values.join(F.broadcast(held), keys).where(inside))
+        share = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")
+        held = cut_lineage(holding(values.groupBy(*named, "target", bucket).agg(*counted)))
+        done = done.unionByName(held.where("lo = hi"))
+        values, keys = values.select("metric", "percent", "value"), ["metric", "percent"]
+    return done.select(*named, F.col("lo").alias("value"))

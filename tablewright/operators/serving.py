@@ -16,10 +16,7 @@ PAY_PER_TOKEN = (200_000, 10_000)
 FALLBACK_CODES = (429, 503)
 
 TOKENS = "struct<input_tokens:bigint,output_tokens:bigint,total_tokens:bigint>"
-TRACE_SCHEMA = (
-    f"struct<info:struct<request_id:string,execution_time_ms:bigint,status:string,token_usage:{TOKENS}>,"
-    "data:struct<spans:array<struct<name:string,attributes:map<string,string>>>>>"
-)
+SPANS = "array<struct<attributes:map<string,string>>>"
 # fixed values: attribute names of the trace format
 SPAN_TYPE, SPAN_TOKENS, CHAT = "mlflow.spanType", "mlflow.chat.tokenUsage", "CHAT_MODEL"
 PLAIN_TOKENS = "llm.token_usage.input_tokens"
@@ -61,49 +58,43 @@ def latency_metrics(tokens: DataFrame) -> DataFrame:
     )
 
 
-def unquoted(text: Column) -> Column:
-    """Value of a JSON string literal."""
-    return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "v string")["v"]
-
-
 def trace_tokens(traces: DataFrame, column: str = "trace") -> DataFrame:
     """Input and output tokens of each trace document.
 
     The trace's own total is used where there is one, else the sum over its chat
-    spans, whose attributes hold JSON texts. Without input tokens both are null.
+    spans, whose attributes hold JSON texts. Without input tokens both are null, as for a text that is no JSON.
+    Each document is parsed once, as a variant, and its spans are gone through once.
     """
-    trace = F.from_json(F.col(column), TRACE_SCHEMA).alias("t")
-    chats = F.filter(
-        F.coalesce("t.data.spans", F.array().cast("array<struct<name:string,attributes:map<string,string>>>")),
-        lambda s: unquoted(F.try_element_at(s["attributes"], F.lit(SPAN_TYPE))) == CHAT,
-    )
-
-    def summed(field: str) -> Column:
-        def of_span(span: Column) -> Column:
-            attributes = span["attributes"]
-            text = F.coalesce(
-                F.try_element_at(attributes, F.lit(SPAN_TOKENS)), F.try_element_at(attributes, F.lit(PLAIN_TOKENS))
-            )
-            return F.coalesce(F.from_json(text, TOKENS)[field], F.lit(0).cast("long"))
-
-        return F.aggregate("chats", F.lit(0).cast("long"), lambda acc, s: acc + of_span(s))
-
-    own = F.col("t.info.token_usage")
     rest = [c for c in traces.columns if c != column]
-    parsed = traces.select(*rest, trace).select(*rest, "t", chats.alias("chats"))
-    sums = parsed.select(
-        *rest, "t.info.request_id", F.col("t.info.execution_time_ms").alias("total_ms"), own.alias("own"),
-        F.struct(summed("input_tokens").alias("input_tokens"), summed("output_tokens").alias("output_tokens")).alias("s"),
+    spans = F.try_variant_get("v", "$.data.spans", SPANS)
+    attributes = F.transform(F.coalesce(spans, F.array().cast(SPANS)), lambda s: s["attributes"])
+    chats = F.filter(attributes, lambda a: F.trim(F.try_element_at(a, F.lit(SPAN_TYPE))).isin(CHAT, f'"{CHAT}"'))
+
+    def tokens(a: Column) -> Column:
+        text = F.coalesce(F.try_element_at(a, F.lit(SPAN_TOKENS)), F.try_element_at(a, F.lit(PLAIN_TOKENS)))
+        return F.from_json(text, TOKENS)
+
+    fields = ("input_tokens", "output_tokens")
+    none = F.struct(*(F.lit(0).cast("long").alias(f) for f in fields))
+    summed = F.aggregate(
+        F.transform(chats, tokens), none,
+        lambda acc, t: F.struct(*((acc[f] + F.coalesce(t[f], F.lit(0).cast("long"))).alias(f) for f in fields)),
+    )
+    parsed = traces.select(*rest, F.try_parse_json(column).alias("v")).select(
+        *rest, F.try_variant_get("v", "$.info.request_id", "string").alias("request_id"),
+        F.try_variant_get("v", "$.info.execution_time_ms", "bigint").alias("total_ms"),
+        *(F.try_variant_get("v", f"$.info.token_usage.{f}", "bigint").alias(f"own_{f}") for f in fields),
+        summed.alias("s"),
     )
 
     def pick(field: str) -> Column:
         return (
-            F.when(F.col("own.input_tokens").isNotNull(), F.col(f"own.{field}"))
+            F.when(F.col("own_input_tokens").isNotNull(), F.col(f"own_{field}"))
             .when(F.col("s.input_tokens") > 0, F.col(f"s.{field}"))
             .alias(field)
         )
 
-    return sums.select(*rest, "request_id", pick("input_tokens"), pick("output_tokens"), "total_ms")
+    return parsed.select(*rest, "request_id", *(pick(f) for f in fields), "total_ms")
 
 
 def profile_summary(requests: DataFrame, metrics: Sequence[str], percents: Sequence[int] = (50, 75, 95)) -> DataFrame:

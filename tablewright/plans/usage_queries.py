@@ -172,43 +172,41 @@ def _(spark, sf):
     return serving.profile_summary(latencies(spark, sf), ["ttft_ms", "tpot_ms", "total_ms"])
 
 
-def trace_documents(spark, sf):
-    """A trace per event: purchases and views carry totals, signups have no chat span."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    out = F.floor("value").cast("bigint")
+SPAN_KINDS = ("TOOL", "CHAT_MODEL", "RETRIEVER", "PARSER")
 
-    def tokens(n_in, n_out):
-        return F.struct(
-            n_in.alias("input_tokens"), n_out.alias("output_tokens"), (n_in + n_out).alias("total_tokens")
-        )
 
-    def span(name, kind, extra=None):
-        attributes = [F.lit("mlflow.spanType"), F.lit(f'"{kind}"')]
-        if extra is not None:
-            attributes += [F.lit("mlflow.chat.tokenUsage"), extra]
-        return F.struct(F.lit(name).alias("name"), F.create_map(*attributes).alias("attributes"))
+def trace_documents(spark, sf):
+    """A trace per event. The event's number gives how many spans it has and the kind of each; some have totals."""
+    k, value = F.get_json_object("props", "$.k").cast("bigint"), F.floor("value").cast("bigint")
+
+    def counts(n_in, n_out):
+        return F.struct(n_in.alias("input_tokens"), n_out.alias("output_tokens"))
 
-    def chat(name, n_in, n_out):
-        return span(name, "CHAT_MODEL", F.to_json(tokens(n_in, n_out)))
+    def span(i):
+        kind = F.element_at(F.array(*map(F.lit, SPAN_KINDS)), ((k * 3 + i) % len(SPAN_KINDS) + 1).cast("int"))
+        tokens = F.when(kind == "CHAT_MODEL", F.to_json(counts(k + i, value + i)))
+        attributes = F.map_from_arrays(
+            F.array(F.lit(serving.SPAN_TYPE), F.lit(serving.SPAN_TOKENS)), F.array(F.concat(F.lit('"'), kind, F.lit('"')), tokens)
+        )
+        return F.struct(F.concat_ws("-", F.lower(kind), i.cast("string")).alias("name"), attributes.alias("attributes"))
 
-    plain = F.array(span("agent", "AGENT"), span("search", "TOOL"))
-    chats = F.array(span("agent", "AGENT"), chat("first", k * 3, out), span("search", "TOOL"), chat("second", k * 2, out + 1))
-    counted = F.col("event_type").isin("purchase", "view")
     info = F.struct(
-        F.concat(F.lit("trace-"), F.col("event_id").cast("string")).alias("request_id"),
-        out.alias("execution_time_ms"), F.lit("OK").alias("status"),
-        F.when(counted, tokens(k * 7, out * 2)).alias("token_usage"),
+        F.concat(F.lit("trace-"), F.col("event_id").cast("string")).alias("request_id"), value.alias("execution_time_ms"),
+        F.when(F.col("event_type").isin("purchase", "view"), counts(k * 7, value * 2)).alias("token_usage"),
     )
-    spans = F.when(F.col("event_type") == "signup", plain).otherwise(chats)
+    spans = F.transform(F.sequence(F.lit(0).cast("bigint"), k % 5), span)
     return roles.table(spark, sf, "events").select(
         "event_id", F.to_json(F.struct(info.alias("info"), F.struct(spans.alias("spans")).alias("data"))).alias("trace")
     )
 
 
-@query("trace_tokens", """SELECT event_id, 'trace-' || event_id AS request_id,
-  CASE WHEN event_type IN ('purchase', 'view') THEN k * 7 WHEN event_type <> 'signup' AND k > 0 THEN k * 5 END AS input_tokens,
-  CASE WHEN event_type IN ('purchase', 'view') THEN out * 2 WHEN event_type <> 'signup' AND k > 0 THEN out * 2 + 1 END AS output_tokens,
-  out AS total_ms FROM (SELECT *, (props::JSON ->> '$.k')::BIGINT AS k, floor(value)::BIGINT AS out FROM events)""")
+@query("trace_tokens", """WITH e AS (SELECT event_id, event_type, (props::JSON ->> '$.k')::BIGINT AS k, floor(value)::BIGINT AS out FROM events),
+spans AS (SELECT event_id, sum(k + i)::BIGINT AS n_in, sum(out + i)::BIGINT AS n_out
+  FROM (SELECT *, unnest(range(0, k % 5 + 1)) AS i FROM e) WHERE (k * 3 + i) % 4 = 1 GROUP BY 1)
+SELECT e.event_id, 'trace-' || e.event_id AS request_id,
+  CASE WHEN event_type IN ('purchase', 'view') THEN k * 7 WHEN n_in > 0 THEN n_in END AS input_tokens,
+  CASE WHEN event_type IN ('purchase', 'view') THEN out * 2 WHEN n_in > 0 THEN n_out END AS output_tokens,
+  out AS total_ms FROM e LEFT JOIN spans USING (event_id)""")
 def _(spark, sf):
     return serving.trace_tokens(trace_documents(spark, sf))
 

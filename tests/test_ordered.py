@@ -43,7 +43,7 @@ def wanted(values, p):
     return values[min(int(len(values) * p / 100), len(values) - 1)]
 
 
-@pytest.mark.parametrize("kind", ["uniform", "heavy", "constant", "few"])
+@pytest.mark.parametrize("kind", ["uniform", "heavy", "constant", "few", "signs", "extremes", "close"])
 def test_percentiles_through_the_bracket(spark, kind):
     rng = random.Random(3)
     values = {
@@ -51,10 +51,13 @@ def test_percentiles_through_the_bracket(spark, kind):
         "heavy": [rng.paretovariate(0.5) for _ in range(20000)],
         "constant": [1.5] * 9000 + [rng.random() for _ in range(9000)],
         "few": [float(rng.randint(0, 3)) for _ in range(20000)],
+        "signs": [rng.gauss(0, 1) for _ in range(9000)] + [0.0, -0.0] * 50,
+        "extremes": [float("inf"), float("-inf"), 5e-324, -5e-324, 1.7e308, -1.7e308, 0.0] * 20,
+        "close": [1.0 + i * 2.0**-52 for i in range(5000)],
     }[kind]
     df = spark.createDataFrame([(v, None if i % 2 else v) for i, v in enumerate(values)], "a double, b double")
     percents = [1, 25, 50, 75, 95, 99, 100]
-    got = index_percentiles(df, ["a", "b"], percents, accuracy=200).collect()
+    got = index_percentiles(df, ["a", "b"], percents).collect()
     assert len(got) == 2 * len(percents)
     for r in got:
         column = values if r.metric == "a" else values[::2]

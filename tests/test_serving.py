@@ -31,11 +31,13 @@ def test_trace_tokens(spark):
         (4, trace(None, None)),
         (5, trace(None, [chat(0, 7)])),
         (7, json.dumps({"info": {"request_id": "t", "token_usage": {}}, "data": {"spans": [chat(1, 2)]}})),
+        (8, "no json"), (9, None), (10, "[1]"), (11, json.dumps({"data": {"spans": [chat(5, 6), {"name": "y"}, chat(1, 1)]}})),
         (6, trace(None, [{"name": "x", "attributes": {"mlflow.spanType": "\"CHAT_MODEL\""}}, chat(3, 4)])),
     ]
     got = {r.id: (r.input_tokens, r.output_tokens) for r in
            serving.trace_tokens(spark.createDataFrame(rows, "id int, trace string")).collect()}
-    assert got == {1: (1500, 100), 2: (1500, 100), 3: (None, None), 4: (None, None), 5: (None, None), 6: (3, 4), 7: (1, 2)}
+    assert got == {1: (1500, 100), 2: (1500, 100), 3: (None, None), 4: (None, None), 5: (None, None), 6: (3, 4), 7: (1, 2),
+                   8: (None, None), 9: (None, None), 10: (None, None), 11: (6, 7)}
 
 
 def test_turn_profile_with_a_long_conversation(spark):
