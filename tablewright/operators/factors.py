@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tablewright.functions.columns import l2_normalize
 from tablewright.operators.features import interaction_share
@@ -137,25 +139,36 @@ def tune(
     iterations: Sequence[int] = (1, 10),
     k: int = 5,
     seed: int = 42,
+    at_once: int = 4,
 ) -> Search:
     """Seeded random search for the hit rate on linked validation orders.
 
-    Each trial is a Spark job. :func:`refit` fits the best setting on all training data.
+    Settings are drawn first, and ``at_once`` trials run their Spark jobs side by side, so that the stages of one fill
+    the cores that another leaves idle. :func:`refit` fits the best setting on all training data.
     """
     draw = random.Random(seed)
+    settings = [{"trial": t, "rank": draw.randint(*ranks), "max_iter": draw.randint(*iterations)} for t in range(trials)]
     shares, linked = train.shares.persist(), validation.persist()
-    log = []
+
+    def run(setting: dict) -> dict:
+        model = fit(shares, setting["rank"], setting["max_iter"], seed)
+        return {**setting, "hit": hit_rate(model, linked, k)}
+
     try:
-        for trial in range(trials):
-            params = {"rank": draw.randint(*ranks), "max_iter": draw.randint(*iterations)}
-            score = hit_rate(fit(shares, seed=seed, **params), linked, k)
-            log.append({"trial": trial, **params, "hit": score})
+        with ThreadPool(at_once) as pool:
+            log = pool.map(inheritable_thread_target(shares.sparkSession)(run), settings)
     finally:
         shares.unpersist()
         linked.unpersist()
     return Search(log, max(log, key=lambda t: (t["hit"] or 0.0, -t["trial"])))
 
 
+def trial_log(spark: SparkSession, search: Search) -> DataFrame:
+    """A row per trial: trial, rank, max_iter, hit and whether it is the best."""
+    rows = [(t["trial"], t["rank"], t["max_iter"], t["hit"], t == search.best) for t in search.trials]
+    return spark.createDataFrame(rows, "trial int, rank int, max_iter int, hit double, best boolean")
+
+
 def refit(orders: DataFrame, search: Search, seed: int = 42) -> tuple[Matrix, ALSModel]:
     """The best setting of a search, fitted on the given orders."""
     matrix = prepare(orders)

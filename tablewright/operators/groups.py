@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -181,18 +181,19 @@ def newest_models(models: DataFrame, keys: Sequence[str]) -> DataFrame:
 def map_groups(
     df: DataFrame,
     keys: Sequence[str],
-    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
     schema: str | T.StructType,
-    max_rows: int,
 ) -> DataFrame:
-    """Run a pandas function per group, for groups that are known to stay small.
+    """Run a pandas function over each group, a batch of rows at a time, for groups of any size.
 
-    The largest group is measured first; one above ``max_rows`` is an error.
+    ``fn`` takes a group's batches, in no order, and gives batches of results; no more than one batch is held, so what it
+    keeps of a group must be small, as for models that are fitted step by step.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group has {largest} rows, more than {max_rows}; use fit_linear_groups")
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(batches)
+
+    return df.groupBy(*keys).applyInPandas(stream, schema)
 
 
 def season_columns(ts: Column, periods: Sequence[tuple[float, int]]) -> list[Column]:

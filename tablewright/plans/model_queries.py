@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tablewright.functions import text
@@ -318,6 +319,26 @@ def _(spark, sf):
 MEASURES = ["l_quantity", "l_discount", "l_tax"]
 
 
+def running_moments(batches):
+    """Count, mean and spread of a group's prices, merged from batch to batch."""
+    supplier, n, mean, squares = None, 0, 0.0, 0.0
+    for batch in batches:
+        x = batch["l_extendedprice"].to_numpy()
+        supplier, off = batch["l_suppkey"].iloc[0], x.mean() - mean
+        squares += ((x - x.mean()) ** 2).sum() + off * off * n * len(x) / (n + len(x))
+        mean, n = mean + off * len(x) / (n + len(x)), n + len(x)
+    yield pd.DataFrame({"l_suppkey": [supplier], "n_rows": [n], "mean": [mean], "deviation": [(squares / (n - 1)) ** 0.5 if n > 1 else None]})
+
+
+@query("group_stream", """SELECT l_suppkey, count(*) AS n_rows, round(avg(l_extendedprice), 4) AS mean,
+  round(stddev_samp(l_extendedprice), 4) AS deviation FROM lineitem GROUP BY 1""")
+def _(spark, sf):
+    """A function of pandas batches over each supplier's rows, however many they are."""
+    lines = roles.table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice")
+    found = groups.map_groups(lines, ["l_suppkey"], running_moments, "l_suppkey bigint, n_rows bigint, mean double, deviation double")
+    return found.withColumns({c: F.round(c, 4) for c in ("mean", "deviation")})
+
+
 @query("group_cross_validation")
 def _(spark, sf):
     found = groups.fit_linear_groups(roles.table(spark, sf, "lineitem"), ["l_suppkey"], MEASURES, "l_extendedprice")

@@ -11,6 +11,7 @@ from tablewright.operators.ordered import dense_ids, vocabulary
 from tablewright.operators.split import hash_split, temporal_split
 from tablewright.plans import roles
 from tablewright.plans.registry import query
+from tablewright.session import write_once
 
 LINES = """lines AS (
   SELECT l_orderkey AS order_id, {item} AS item, min(l_linenumber) AS line
@@ -424,14 +425,33 @@ def _(spark, sf):
 
 @query("als_tuned")
 def _(spark, sf):
-    """Lists of the best setting, searched for on test orders and fitted again on all orders, beside that setting and its hit rate."""
+    """Lists of the best setting, fitted again on all orders, beside that setting and its hit rates.
+
+    The search is judged on the last orders of the training part; the test orders are used once, for ``test_hit``.
+    """
     train, test = roles.train_test(spark, sf)
-    matrix = factors.prepare(train)
-    search = factors.tune(matrix, factors.link_orders(test, matrix))
+    parts = temporal_split(train.drop("split"), "mpid", "order_timestamp", "order_id")
+    fitted = factors.prepare(write_once(parts.where(F.col("split") == "train"), "fitted"))
+    search = factors.tune(fitted, factors.link_orders(parts.where(F.col("split") == "test"), fitted))
+    trained = factors.prepare(train)
+    model = factors.fit(trained.shares, search.best["rank"], search.best["max_iter"])
+    test_hit = factors.hit_rate(model, factors.link_orders(test, trained))
     whole, model = factors.refit(roles.user_orders(spark, sf), search)
     lists = factors.with_labels(factors.recommend_users(model, 20), whole)
     setting = [F.lit(search.best[c]).cast(t).alias(c) for c, t in (("rank", "int"), ("max_iter", "int"), ("hit", "double"))]
-    return lists.withColumnRenamed("rank", "place").select("mpid", "place", "item", "score", *setting)
+    return lists.withColumnRenamed("rank", "place").select(
+        "mpid", "place", "item", "score", *setting, F.lit(test_hit).cast("double").alias("test_hit")
+    )
+
+
+@query("als_trials", "SELECT t::INTEGER AS trial, true AS fits FROM range(20) x(t)")
+def _(spark, sf):
+    """The log of a search among small settings: every trial once, within its bounds, with a share of hits."""
+    train, _ = roles.train_test(spark, sf)
+    matrix = factors.prepare(train)
+    search = factors.tune(matrix, factors.link_orders(train, matrix), ranks=(1, 8), iterations=(1, 2))
+    fits = F.col("rank").between(1, 8) & F.col("max_iter").between(1, 2) & F.col("hit").between(0, 1)
+    return factors.trial_log(spark, search).select("trial", fits.alias("fits"))
 
 
 @query("format_keys", """SELECT p_partkey, 'ORD-' || lpad((p_partkey + 1)::VARCHAR, greatest(6, length((p_partkey + 1)::VARCHAR))::INTEGER, '0') AS order_key,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -96,9 +95,8 @@ def synthetic_wide(
     return ids.select("id", *features, target)
 
 
-def group_samples(seed: int, n_samples: int, n_features: int, group: pd.DataFrame) -> pd.DataFrame:
+def group_samples(seed: int, n_samples: int, n_features: int, name: str) -> pd.DataFrame:
     """Samples of one linear model with the group's own coefficients."""
-    name = group["group_name"].iloc[0]
     rng = np.random.default_rng([seed, *name.encode()])
     x = rng.standard_normal((n_samples, n_features)).astype("float32")
     y = x @ (100 * rng.random(n_features))
@@ -118,4 +116,10 @@ def synthetic_groups(
         + [T.StructField(f"features_{i}", T.FloatType()) for i in range(n_features)]
         + [T.StructField("target", T.FloatType())]
     )
-    return map_groups(names, ["group_name"], partial(group_samples, seed, n_samples, n_features), schema, max_rows=1)
+
+    def made(batches):
+        for batch in batches:
+            for name in batch["group_name"]:
+                yield group_samples(seed, n_samples, n_features, name)
+
+    return map_groups(names, ["group_name"], made, schema)

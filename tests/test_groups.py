@@ -82,15 +82,19 @@ def test_newest_models(spark):
     assert {(r.g, r.m) for r in groups.newest_models(df, ["g"]).collect()} == {("a", "new"), ("b", "only")}
 
 
-def test_map_groups_checks_its_bound(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "g string, v int")
-
-    def total(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"g": [rows.g.iloc[0]], "s": [rows.v.sum()]})
-
-    assert {(r.g, r.s) for r in groups.map_groups(df, ["g"], total, "g string, s bigint", 2).collect()} == {("a", 3), ("b", 3)}
-    with pytest.raises(ValueError):
-        groups.map_groups(df, ["g"], total, "g string, s bigint", 1)
+def test_map_groups_streams_any_group(spark):
+    df = spark.range(50_000).select(F.when(F.col("id") < 45_000, "hot").otherwise("b").alias("g"), (F.col("id") % 7).alias("v"))
+
+    def total(batches):
+        name, n, s, most = None, 0, 0, 0
+        for batch in batches:
+            name, n, s, most = batch.g.iloc[0], n + 1, s + int(batch.v.sum()), max(most, len(batch))
+        yield pd.DataFrame({"g": [name], "batches": [n], "s": [s], "most": [most]})
+
+    got = {r.g: r for r in groups.map_groups(df, ["g"], total, "g string, batches int, s bigint, most int").collect()}
+    assert {g: r.s for g, r in got.items()} == {"hot": sum(i % 7 for i in range(45_000)), "b": sum(i % 7 for i in range(45_000, 50_000))}
+    assert got["hot"].batches > 1 and got["hot"].most < 45_000
+    assert groups.map_groups(df.limit(0), ["g"], total, "g string, batches int, s bigint, most int").collect() == []
 
 
 def test_forecast_follows_trend_and_week(spark):
