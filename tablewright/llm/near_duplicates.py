@@ -391,7 +391,7 @@ def between_pools(members: DataFrame, pools: DataFrame, classes: DataFrame, sets
 
 
 def groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_key, n_shingles, component_id.
+    """Per row of ``docs``: doc_id, text_key, n_shingles, component_id, root (the component itself, null without words).
 
     Null and empty texts have no shingles and are linked with nothing. Rows without an id take part, but a component is
     called by its smallest id, null if none of its rows has one. Every row stays, repeated ones too.
@@ -406,13 +406,14 @@ def groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     roots = cut_lineage(class_roots(docs, classes, size))
     named = roots.join(classes.select(F.col("digest").alias("node"), "rep"), "node")
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
-    labels = roots.join(least, "root").select(F.col("node").alias("digest"), "least", F.lit(True).alias("linked"))
+    labels = roots.join(least, "root").select(F.col("node").alias("digest"), "least", "root")
     labelled = classes.select("digest", "rep").join(labels, "digest", "left").select(
-        "digest", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("label")
+        "digest", F.when(F.col("root").isNotNull(), F.col("least")).otherwise(F.col("rep")).alias("label"),
+        F.coalesce("root", "digest").alias("root"),
     )
     label = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("label"))
     return rows.drop("sketch").join(labelled, "digest", "left").select(
-        "doc_id", "text_key", F.col("n").alias("n_shingles"), label.alias("component_id")
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), label.alias("component_id"), "root"
     )
 
 
@@ -423,14 +424,18 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """One row of each group, with its own columns only; of repeated rows with the same id and text, one.
+    """One row of each group, with its own columns only: that with the least doc_id, ids before nulls, then by text hash.
 
-    Rows without an id stay only where no row of their group has one.
+    Of repeated rows with the same id and text one stays. Texts without words are in no group, so each of them stays but
+    for such repetitions.
     """
-    found = groups(docs, size).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     at, key, n = fresh(docs, "kept_id", "kept_key", "kept_rows")
-    wanted = found.groupBy(F.col("doc_id").alias(at), F.col("text_key").alias(key)).agg(F.count("*").alias(n))
+    texts = cut_lineage(groups(docs, size).groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.first("root").alias("root")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n")).alias("first")
+    chosen = texts.where(F.col("root").isNotNull()).groupBy("root").agg(first).select("first.doc_id", "first.text_key", "first.n")
+    chosen = chosen.unionByName(texts.where(F.col("root").isNull()).drop("root"))
+    wanted = cut_lineage(chosen.select(F.col("doc_id").alias(at), F.col("text_key").alias(key), F.col("n").alias(n)))
     same = col("doc_id").eqNullSafe(col(at)) & (text_key(col("text").cast("string")) == col(key))
-    keyed = docs.join(cut_lineage(wanted), same)
+    keyed = docs.join(wanted, same)
     repeated = keyed.where(col(n) > 1).dropDuplicates([at, key])
     return keyed.where(col(n) == 1).unionByName(repeated).select(*(col(c) for c in docs.columns))

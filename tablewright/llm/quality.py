@@ -1,15 +1,18 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame expressions only.
 
 Every text is measured (words, symbols, repeated lines and windows). Each rule rejects a text whose measure lies above a
-cutoff. A cutoff is admitted in a stratum only if labelled good documents show, by the exact binomial tail and at a level
-divided by the number of tests, that it rejects at most a stated share of good documents.
+cutoff. The cutoffs of all rules get stricter together, one rule's cutoff at each step, and a step rejects all that the one
+before it does. Labelled good documents decide how far a stratum goes: steps are tested in this fixed sequence, each at
+the stratum's full level, by the exact binomial tail of all rules' false rejections together, and the first that fails ends
+it. So no level is spent on the number of steps or rules, and the levels of all strata sum up to DELTA. A stratum with too
+few good labels to pass any test shares one test with the others that have too few.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import SPACE, WORD, col, fresh
@@ -120,46 +123,52 @@ def tail(n: Column, k: Column, risk: float) -> Column:
     return F.when(k >= n * risk, 1.0).when(k == 0, F.exp(none)).otherwise(added)
 
 
+def first_step(values: list[Column]) -> Column:
+    """The first step that rejects these measures, step j * rules + i cutting rule i at CUTOFFS[j]; null for none."""
+    cuts = F.array(*(F.lit(c) for c in CUTOFFS))
+    above = lambda v: F.size(F.filter(cuts, lambda c: v > c))
+    # a value above the last n cutoffs is rejected from the n-th last on
+    at = [above(v) for v in values]
+    found = [F.when(n > 0, (len(CUTOFFS) - n) * len(values) + i) for i, n in enumerate(at)]
+    return F.least(*found) if len(found) > 1 else found[0]
+
+
 def cutoff_table(labelled: DataFrame, rules: tuple[str, ...] = RULES, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """The admitted cutoff of each stratum and rule: stratum, rule, cutoff, n_good, n_bad, good_out, bad_out, bound.
+    """The step each stratum goes to: stratum, pooled, step, limits (rule to cutoff), n_good, n_bad, good_out, bad_out, bound.
 
-    ``labelled`` has stratum, good (boolean) and the rules' measures, one row per labelled document. Of the admitted
-    cutoffs that one is taken which rejects the most bad documents beyond the good ones, and the most lenient among
-    equals. A stratum with too few labels for any bound gets no rule. Rows are counted by stratum, rule and level before
-    they meet, so that a hot stratum is 25 rows a rule for each task.
+    ``labelled`` has stratum, good (boolean) and the rules' measures, one row per labelled document. Of the steps that pass
+    that one is taken which rejects the most bad documents beyond the good ones, and the most lenient among equals. Strata
+    with fewer good labels than a test without any false rejection needs are tested together, as ``pooled``; where this
+    is too few as well there is no step. Rows are counted by stratum and step first, so a hot stratum is 121 rows a task.
     """
-    cuts = F.array(*(F.lit(c) for c in CUTOFFS))
-    level = lambda v: F.size(F.filter(cuts, lambda c: v > c))  # noqa: E731  number of cutoffs that reject the value
-    values = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), level(col(r)).alias("level")) for r in rules)))
-    counts = (
-        labelled.select("stratum", "good", values.alias("v"))
-        .groupBy("stratum", F.col("v.rule").alias("rule"), F.col("v.level").alias("level"))
+    counts = cut_lineage(
+        labelled.select("stratum", "good", first_step([col(r) for r in rules]).alias("step")).groupBy("stratum", "step")
         .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     )
-    groups = cut_lineage(
-        counts.groupBy("stratum", "rule")
-        .agg(F.collect_list(F.struct("level", "good", "bad")).alias("levels"))
+    sizes = counts.groupBy("stratum").agg(F.sum("good").alias("n"))
+    level = delta / max(1, sizes.count())
+    sizes = sizes.withColumn("pooled", F.col("n") < math.ceil(math.log(level) / math.log1p(-risk)))
+    tested = F.when(F.col("pooled"), "").otherwise(F.col("stratum")).alias("tested")
+    members = sizes.select("stratum", "pooled", tested)
+    whole = Window.partitionBy("tested", "pooled")
+    upto = whole.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a step at which nothing more is rejected passes with the one before it
+    steps = (
+        counts.join(members, "stratum").groupBy("tested", "pooled", "step").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        .withColumns({"n_good": F.sum("good").over(whole), "n_bad": F.sum("bad").over(whole)}).where(F.col("step").isNotNull())
+        .withColumns({"good_out": F.sum("good").over(upto), "bad_out": F.sum("bad").over(upto)}).drop("good", "bad")
+        .withColumn("bound", tail(F.col("n_good"), F.col("good_out"), risk))
     )
-    strata = groups.select("stratum").distinct().count()
-    per_test = delta / max(1, strata * len(rules) * len(CUTOFFS))
-    per_rule = risk / len(rules)
-
-    def out(name, j):
-        return F.aggregate(
-            F.filter("levels", lambda e: e["level"] > j), F.lit(0).cast("long"), lambda acc, e: acc + e[name]
-        )
-
-    j = F.col("j")
-    tried = groups.select("stratum", "rule", "levels", F.posexplode(cuts).alias("j", "cutoff")).select(
-        "stratum", "rule", "cutoff", out("good", F.lit(-1)).alias("n_good"), out("bad", F.lit(-1)).alias("n_bad"),
-        # the first j cutoffs are more lenient: a value of level l is rejected by cutoffs from len - l on
-        out("good", len(CUTOFFS) - 1 - j).alias("good_out"), out("bad", len(CUTOFFS) - 1 - j).alias("bad_out"),
-    ).withColumn("bound", tail(F.col("n_good"), F.col("good_out"), per_rule))
+    passed = F.max(F.when(F.col("bound") > level, 1).otherwise(0)).over(upto) == 0
     gain = F.col("bad_out") - F.col("good_out")
-    best = F.max_by(F.struct(*tried.columns[2:]), F.struct(gain, F.col("cutoff")))
-    return (
-        tried.where((F.col("bound") <= per_test) & (gain > 0))
-        .groupBy("stratum", "rule").agg(best.alias("best")).select("stratum", "rule", "best.*")
+    fields = ["step", "n_good", "n_bad", "good_out", "bad_out", "bound"]
+    best = F.max_by(F.struct(*fields), F.struct(gain, -F.col("step")))
+    taken = steps.withColumn("passed", passed).where(F.col("passed") & (gain > 0)).groupBy("tested", "pooled").agg(best.alias("b"))
+    cuts = F.array(*(F.lit(c) for c in CUTOFFS))
+    last = [F.floor((F.col("step") - i) / len(rules)).cast("int") for i in range(len(rules))]
+    limits = F.array(*(F.struct(F.lit(r).alias("rule"), F.get(cuts, j).alias("cutoff")) for r, j in zip(rules, last, strict=True)))
+    return members.join(taken, ["tested", "pooled"]).select("stratum", "pooled", "b.*").withColumn(
+        "limits", F.map_from_entries(F.filter(limits, lambda e: e["cutoff"].isNotNull()))
     )
 
 
@@ -177,9 +186,7 @@ def judge(measures: DataFrame, cutoffs: DataFrame, names: dict[str, str], lang:
     The cutoffs are at most one row for each of the 18,253 strata, so they are broadcast.
     """
     key, limits, kept = fresh(measures, "stratum_key", "limits", "kept")
-    of = cutoffs.groupBy(F.col("stratum").alias(key)).agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(limits)
-    )
+    of = cutoffs.select(F.col("stratum").alias(key), F.col("limits").alias(limits))
     joined = measures.withColumn(key, stratum(col(lang))).join(F.broadcast(of), key, "left")
     over = [F.coalesce(col(names[r]) > F.try_element_at(col(limits), F.lit(r)), F.lit(False)) for r in RULES]
     bad = col(names["base_failed"])
@@ -199,7 +206,7 @@ def _learned(measures: DataFrame, labels: DataFrame, names: dict[str, str]) -> D
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, the base counts, base_failed, kept. Every row stays, repeated ones and null ids too.
 
-    Without labels no cutoff is admitted and only the base rules decide.
+    Without labels no step passes and only the base rules decide.
     """
     found, names = measured(docs.select("doc_id", "text", "lang"))
     rows = cut_lineage(found.drop("text"))

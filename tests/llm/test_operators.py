@@ -71,12 +71,29 @@ def test_binomial_tail_and_cutoffs(spark):
     for r in got:
         exact = sum(comb(r.n, i) * 0.03**i * 0.97 ** (r.n - i) for i in range(r.k + 1))
         assert r.p == (1.0 if r.k >= r.n * 0.03 else pytest.approx(exact, rel=1e-9))
-    # one clean stratum with enough labels, one without
-    data = [("en", True, 0.01) for _ in range(4000)] + [("en", False, 0.5)] * 50 + [("de", True, 0.0)] * 20 + [("de", False, 0.5)] * 5
+    # one clean stratum with enough labels, two that have enough together, and the step before the good ones are hit
+    data = [("en", True, 0.01) for _ in range(4000)] + [("en", False, 0.5)] * 50 + [("en", True, 0.3)] * 200 + [("en", False, 0.3)] * 300
+    data += [(s, True, 0.0) for s in ("de", "fr") for _ in range(150)] + [("de", False, 0.5)] * 5
     labelled = spark.createDataFrame(data, "stratum string, good boolean, symbol_share double")
-    table = quality.cutoff_table(labelled, rules=("symbol_share",)).collect()
-    assert [(r.stratum, r.n_good, r.good_out, r.bad_out) for r in table] == [("en", 4000, 0, 50)]
-    assert table[0].bound <= quality.DELTA / (2 * len(quality.CUTOFFS))
+    table = sorted(quality.cutoff_table(labelled, rules=("symbol_share",)).collect())
+    assert [(r.stratum, r.pooled, r.n_good, r.good_out, r.bad_out) for r in table] == [
+        ("de", True, 300, 0, 5), ("en", False, 4200, 0, 50), ("fr", True, 300, 0, 5)]
+    assert all(r.bound <= quality.DELTA / 3 and 0.3 < r.limits["symbol_share"] < 0.5 for r in table)
+    # 0.98 ** 148 is above 0.05
+    few = spark.createDataFrame([("de", True, 0.0)] * 148 + [("de", False, 0.5)] * 5, labelled.schema)
+    assert quality.cutoff_table(few, rules=("symbol_share",)).collect() == []
+
+
+def test_rejections_of_good_documents_stay_within_the_risk(spark):
+    """Strata whose bad and good documents look alike: no sequence goes beyond the risk by more than chance allows."""
+    draw = np.random.default_rng(7)
+    true = {f"a{c}": 0.005 * i for i, c in enumerate("abcdefghij")}  # the share of good documents with a high measure
+    data = [(s, bool(good), float(0.4 if draw.random() < (p if good else 0.9) else 0.0), float(draw.random() * 0.01))
+            for s, p in true.items() for good in [1] * 1500 + [0] * 100]
+    labelled = spark.createDataFrame(data, "stratum string, good boolean, symbol_share double, upper_share double")
+    table = {r.stratum: r for r in quality.cutoff_table(labelled, rules=("symbol_share", "upper_share")).collect()}
+    taken = {s for s, r in table.items() if r.limits["symbol_share"] < 0.4}
+    assert {"aa", "ab"} <= taken and all(true[s] <= quality.RISK for s in taken)
 
 
 BRUTE = {

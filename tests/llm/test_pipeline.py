@@ -10,7 +10,7 @@ from itertools import combinations
 import pytest
 
 import corpus_pipeline
-from tablewright.llm import mixing, pii, quality
+from tablewright.llm import mixing, near_duplicates, pii, quality
 from tests.llm.test_operators import BRUTE
 
 SF = "/root/testdata/sf0.001"
@@ -59,21 +59,26 @@ def good_ones(docs, labels):
         failed, values = found[d["doc_id"]]
         if d["doc_id"] in good and not failed:
             held[stratum(d["lang"])].append((good[d["doc_id"]], values))
-    risk = quality.RISK / len(quality.RULES)
-    level = quality.DELTA / max(1, len(held) * len(quality.RULES) * len(quality.CUTOFFS))
+    level = quality.DELTA / max(1, len(held))
+    tail = lambda n, k: 1.0 if k >= n * quality.RISK else sum(
+        math.comb(n, i) * quality.RISK**i * (1 - quality.RISK) ** (n - i) for i in range(k + 1))
+    few = {s for s, rows in held.items() if tail(sum(g for g, _ in rows), 0) > level}
     cutoffs = {}
-    for s, rows in held.items():
-        n = sum(g for g, _ in rows)
-        for rule in quality.RULES:
-            tried = []
-            for cut in quality.CUTOFFS:
-                k = sum(g and v[rule] > cut for g, v in rows)
-                gain = sum(not g and v[rule] > cut for g, v in rows) - k
-                tail = 1.0 if k >= n * risk else sum(math.comb(n, i) * risk**i * (1 - risk) ** (n - i) for i in range(k + 1))
-                if tail <= level and gain > 0:
-                    tried.append((gain, cut))
-            if tried:
-                cutoffs[s, rule] = max(tried)[1]
+    for members in [few, *({s} for s in held.keys() - few)]:
+        rows = [x for s in members for x in held[s]]
+        limits, best = {}, (0, None)
+        for cut in quality.CUTOFFS:
+            for rule in quality.RULES:
+                limits[rule] = cut
+                out = [g for g, v in rows if any(v[r] > c for r, c in limits.items())]
+                if tail(sum(g for g, _ in rows), sum(out)) > level:
+                    break
+                if len(out) - 2 * sum(out) > best[0]:
+                    best = (len(out) - 2 * sum(out), dict(limits))
+            else:
+                continue
+            break
+        cutoffs |= {(s, r): c for s in members for r, c in (best[1] or {}).items()}
     over = lambda d: any(found[d["doc_id"]][1][r] > cutoffs.get((stratum(d["lang"]), r), math.inf) for r in quality.RULES)
     return [d for d in docs if not found[d["doc_id"]][0] and not over(d)], cutoffs
 
@@ -82,7 +87,7 @@ def one_of_each_group(docs):
     sets = {}
     for d in docs:
         w = words_of(lowered(d["text"]))
-        sets[d["doc_id"]] = {tuple(w[i : i + 2]) for i in range(max(1, len(w) - 1))} if w else set()
+        sets[d["doc_id"]] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
     holders = defaultdict(list)
     for i, s in sets.items():
         for x in s:
@@ -204,3 +209,24 @@ def test_pipeline_equals_plain_python(spark, corpus):
     want = Counter(tuple(sorted(d.items())) for d in mixed(clean))
     got = Counter(tuple(sorted(r.asDict().items())) for r in corpus_pipeline.run(spark, corpus).collect())
     assert got == want
+
+
+def test_one_row_of_each_group_stays_with_or_without_ids(spark):
+    base = " ".join(f"word{i}" for i in range(200))
+    near = [base + f" tail{i}" for i in range(3)]
+    other = " ".join(f"other{i}" for i in range(50))
+    rows = [(None, t) for t in near] + [(None, other), (None, other), (7, other + " x"), (7, "a b c"), (7, "d e f g"), (None, ""), (None, None), (1, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, root string")
+    found = sorted(((r.doc_id, r.text) for r in near_duplicates.deduplicate(docs, size=5).collect()), key=str)
+    without = [(i, t) for i, t in found if t not in near]
+    assert len(found) - len(without) == 1
+    # a text with an id goes before those without; null and empty texts without an id are one text
+    assert [(i, t or "") for i, t in without] == sorted([(7, other + " x"), (7, "a b c"), (7, "d e f g"), (None, ""), (1, "")], key=str)
+    assert near_duplicates.deduplicate(docs.where("doc_id IS NULL"), size=5).count() == 3
+
+
+def test_five_words_keep_texts_that_two_words_merge(spark):
+    words = [f"w{i}" for i in range(100)]
+    changed = [f"x{i}" if i % 20 == 10 else w for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed))], "doc_id long, text string")
+    assert near_duplicates.deduplicate(docs).count() == 1 and near_duplicates.deduplicate(docs, size=5).count() == 2
