@@ -15,8 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, groups and similarity as in ``op9_minhash_near_dedup``."""
-    return near_duplicates.deduplicate(docs)
+    """One document of each group of near duplicates: four fifths of their shingles of five words are shared."""
+    return near_duplicates.deduplicate(docs, size=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
