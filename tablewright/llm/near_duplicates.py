@@ -379,15 +379,59 @@ def shared_counts(x: list[np.ndarray], y: list[np.ndarray], width: int = 8192) -
 def between_pools(members: DataFrame, pools: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links a, b of classes in one band bucket whose likeness to the bucket's hub did not bring them into one pool.
 
-    Members that are like each other have like hubs, so these are the chance meetings of unlike texts, and few.
+    Texts that share a passage but little else meet here. A bucket of n classes is cut into blocks of BLOCK, and a task
+    compares the sketches of two blocks; only pairs that are likely similar leave it, so pairs are not rows of any join.
     """
     rest = _rooted(members, "digest", pools).withColumnRenamed("root_digest", "root")
-    split = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band")
-    rest = rest.join(split, "band")
-    side = lambda x: rest.select("band", *(F.col(c).alias(f"{c}_{x}") for c in ("digest", "n", "root")))
-    met = side("a").join(side("b"), "band").where((F.col("root_a") < F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")))
-    pairs = met.groupBy(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).agg(F.count("*").alias("met"))
-    return confirmed(plausible(pairs.where(F.col("met") >= LEAST_BANDS).select("a", "b"), classes), sets)
+    met = rest.groupBy("band").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    ).where("x != y").select("band", "blocks")
+    rest = rest.join(met, "band").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    meet = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
+    )
+    dealt = rest.select("band", "digest", "root", "block", F.explode(meet).alias("at")).join(classes.select("digest", "n", "sketch"), "digest")
+    dealt = dealt.select("band", "at", "block", "digest", "root", "n", "sketch")
+    dealt = dealt.repartition("band", "at").sortWithinPartitions("band", "at")
+
+    def work(batches):
+        key, held = None, []
+        for columns in batches:
+            for band, at, *row in zip(*columns, strict=True):
+                if (now := (band, at["i"], at["j"])) != key:
+                    if held:
+                        yield _likely_pairs(held, key)
+                    key, held = now, []
+                held.append(row)
+        if held:
+            yield _likely_pairs(held, key)
+
+    pairs = make_rows(dealt, [("a", pa.binary()), ("b", pa.binary())], work).distinct()
+    return confirmed(cut_lineage(pairs), sets)
+
+
+def _likely_pairs(rows: list[list], key: tuple) -> list[list[bytes]]:
+    """Pairs of different pools between the two blocks of one meeting, from rows (block, digest, root, n, sketch)."""
+    _, i, j = key
+    left, right = ([r for r in rows if r[0] == side] for side in (i, j))
+    found: list[list[bytes]] = [[], []]
+    if not left or not right:
+        return found
+    b = np.frombuffer(b"".join(r[4] for r in right), np.uint8).reshape(-1, REGISTERS)
+    nb, roots = np.array([r[3] for r in right], float), np.array([r[2] for r in right], object)
+    for _, digest, root, n, sketch in left:
+        a = np.frombuffer(sketch, np.uint8)
+        at = np.flatnonzero((roots > root if i == j else roots != root) & (100 * np.minimum(n, nb) >= THRESHOLD * np.maximum(n, nb)))
+        shared = (b[at] == a).reshape(len(at), BANDS, ROWS).all(axis=2).sum(axis=1)
+        at = at[shared >= LEAST_BANDS]
+        if len(at):
+            _, short = similarity(np.broadcast_to(a, (len(at), REGISTERS)), b[at], np.full(len(at), float(n)), nb[at])
+            for q in at[short <= LOG_RATIO]:
+                x, y = sorted((digest, right[q][1]))
+                found[0].append(x)
+                found[1].append(y)
+    return found
 
 
 def groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
