@@ -13,7 +13,9 @@ SLOTS = 1_000_000
 
 
 def key_slot(keys: Sequence[str], seed: int) -> Column:
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(SLOTS))
+    """A number below SLOTS from the MD5 of seed and keys as text, which any engine can repeat; a null key is empty text."""
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long"), F.lit(SLOTS))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float], seed: int = 42) -> list[DataFrame]:

@@ -8,7 +8,7 @@ from tablewright.functions.columns import numbered_key
 from tablewright.operators import factors, features, orders, rules
 from tablewright.operators.evaluate import hit_and_ndcg
 from tablewright.operators.ordered import dense_ids, vocabulary
-from tablewright.operators.split import hash_split, temporal_split
+from tablewright.operators.split import feature_target_split, hash_sample, hash_split, temporal_split
 from tablewright.plans import roles
 from tablewright.plans.registry import query
 from tablewright.session import write_once
@@ -183,6 +183,19 @@ def _(spark, sf):
     return ranked.select("order_id", "rank", "consequent", F.round("rule_score", 6).alias("rule_score"))
 
 
+@query("mba_keep_empty", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)},
+{SIZES.format(src='lines')}, {SCORED.format(src='lines', metric='confidence')}
+SELECT z.order_id, coalesce(string_agg(consequent, ',' ORDER BY rank), '') AS recommendations,
+  coalesce(round(sum(rule_score), 6), 0) AS scores FROM sizes z
+LEFT JOIN (SELECT * FROM ranked WHERE rank <= 5) r ON r.order_id = z.order_id GROUP BY 1""")
+def _(spark, sf):
+    """Lists for all carts, those without a matching rule included."""
+    baskets = roles.baskets(spark, sf)
+    found = rules.recommend(as_carts(baskets), mined_rules(baskets), 5, keep_empty=True)
+    total = F.aggregate("scores", F.lit(0.0), lambda acc, x: acc + x)
+    return found.select("order_id", F.array_join("recommendations", ",").alias("recommendations"), F.round(total, 6).alias("scores"))
+
+
 @query("rules_relevant", f"""WITH RECURSIVE {BRANDS}, {RULES.format(src='lines', support=roles.MIN_SUPPORT)},
 wanted AS (SELECT DISTINCT item FROM lines JOIN orders ON o_orderkey = order_id WHERE o_totalprice > 499000)
 SELECT antecedent, consequent FROM rules WHERE list_has_any(items, (SELECT list(item) FROM wanted))""")
@@ -292,6 +305,30 @@ def _(spark, sf):
     )
 
 
+SLOT = "CAST('0x' || substr(md5('{seed}:' || {key}), 1, 13) AS BIGINT) % 1000000"
+
+
+@query("hash_sample", f"""SELECT o_orderkey, o_totalprice FROM orders
+WHERE {SLOT.format(seed=7, key="o_orderkey")} < 200000""")
+def _(spark, sf):
+    return hash_sample(roles.table(spark, sf, "orders"), ["o_orderkey"], 0.2, seed=7).select("o_orderkey", "o_totalprice")
+
+
+@query("feature_target_split", f"""SELECT part, o_orderpriority, count(*) AS rows, round(sum(o_totalprice), 2) AS o_totalprice,
+  min(o_orderstatus) AS o_orderstatus FROM (
+  SELECT *, CASE WHEN {SLOT.format(seed=42, key="o_orderkey")} < 800000 THEN 'train' ELSE 'test' END AS part FROM orders)
+GROUP BY 1, 2""")
+def _(spark, sf):
+    """Train and test rows of a classifier; the row id places a row and is no feature."""
+    rows = roles.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    train, test = feature_target_split(rows, "o_orderkey", "o_orderpriority")
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.groupBy("part", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("o_totalprice"),
+        F.min("o_orderstatus").alias("o_orderstatus"),
+    )
+
+
 IDS = """user_ids AS (SELECT mpid, row_number() OVER (ORDER BY mpid)::INTEGER AS user_id
   FROM (SELECT DISTINCT mpid FROM {src} l JOIN heads h ON h.order_id = l.order_id)),
 item_ids AS (SELECT item, row_number() OVER (ORDER BY item)::INTEGER AS item_id FROM (SELECT DISTINCT item FROM {src})),

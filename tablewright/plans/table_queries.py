@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablewright.operators import frames, keyed, retrieval
@@ -92,6 +94,29 @@ def _(spark, sf):
     return newest[0].unionByName(newest[1]).select("dataset_name", "lance_version", "row_count")
 
 
+@query("table_round_trip", """SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""")
+def _(spark, sf):
+    """Files loaded into a table without some columns, rewritten in part under the same schema, and appended to."""
+    first, second = (f"tablewright_orders_{uuid.uuid4().hex}" for _ in range(2))
+    tables.parquet_to_table(spark, f"{sf}/orders.parquet", ["o_totalprice", "o_orderdate", "o_custkey"], first)
+    loaded = tables.read_table(spark, first)
+    tables.write_table(loaded, second)
+    tables.write_table(loaded.where(F.col("o_orderstatus") != "P"), second, overwrite_schema=False)
+    tables.append_table(loaded.where(F.col("o_orderstatus") == "P"), second)
+    return tables.read_table(spark, second, ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+
+
+@query("load_stamp", """SELECT count(*) AS rows, count(*) AS row_ids, 36 AS id_length, 1::BIGINT AS load_times FROM orders""")
+def _(spark, sf):
+    """Random row ids are unique and one load has one time."""
+    stamped = tables.with_load_stamp(roles.table(spark, sf, "orders"))
+    return stamped.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("row_id").alias("row_ids"), F.max(F.length("row_id")).alias("id_length"),
+        F.approx_count_distinct("loaded_at").alias("load_times"),
+    )
+
+
 @query("key_check", """WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT sum(n)::BIGINT AS rows, count(*) FILTER (n > 1) AS duplicate_keys, 0::BIGINT AS null_keys FROM k""")
 def _(spark, sf):
@@ -317,7 +342,7 @@ def _(spark, sf):
 @query("payload_join", """SELECT page_id, strlen(html) AS bytes, md5(html) AS digest FROM pages WHERE url LIKE 'https:%'""")
 def _(spark, sf):
     path = scratch_path(spark, "payloads")
-    frames.write_payload_layout(roles.table(spark, sf, "pages"), "page_id", "html", path, buckets=8)
+    frames.write_payload_layout(roles.table(spark, sf, "pages"), "page_id", "html", path)
     chosen = frames.read_metadata(spark, path).where(F.col("url").startswith("https:")).select("page_id")
-    found = frames.fetch_payloads(spark, path, chosen, "page_id", buckets=8)
+    found = frames.fetch_payloads(spark, path, chosen, "page_id")
     return found.select("page_id", F.octet_length("html").cast("long").alias("bytes"), F.md5("html").alias("digest"))

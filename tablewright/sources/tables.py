@@ -58,11 +58,16 @@ def new_files(listed: DataFrame, known: DataFrame) -> DataFrame:
 def read_payloads(spark: SparkSession, refs: DataFrame, path_column: str, root: str) -> DataFrame:
     """Add the bytes behind each path reference as ``content``, null where the file is missing.
 
-    Reads every file below ``root``; for a few references use :func:`fetch_payloads_by_path`.
+    A local file is the same with and without ``file:`` in front. Reads every file below ``root``; for a few
+    references use :func:`fetch_payloads_by_path`.
     """
+
+    def plain(path: str):
+        return F.regexp_replace(F.col(path), "^file:/*", "/")
+
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    plain = F.regexp_replace("path", "^file:/*", "/")
-    return refs.join(files.select(plain.alias(path_column), "content"), path_column, "left")
+    found = files.select(plain("path").alias("__path"), "content")
+    return refs.join(found, plain(path_column) == F.col("__path"), "left").drop("__path")
 
 
 def read_bytes(path: str) -> bytes | None:

@@ -168,6 +168,9 @@ def test_payloads(spark, tmp_path):
     refs = spark.createDataFrame([(1, str(tmp_path / "img" / "a.jpg")), (2, str(tmp_path / "img" / "gone.jpg"))], "id int, image_path string")
     got = {r.id: r.content and bytes(r.content) for r in tables.read_payloads(spark, refs, "image_path", str(tmp_path / "img")).collect()}
     assert got == {1: b"bytes", 2: None}
+    uris = refs.withColumn("image_path", F.concat(F.lit("file://"), "image_path"))
+    read = tables.read_payloads(spark, uris, "image_path", str(tmp_path / "img"))
+    assert read.columns == ["id", "image_path", "content"] and {r.id: r.content and bytes(r.content) for r in read.collect()} == got
     many = refs.unionByName(spark.createDataFrame([(3, (tmp_path / "img" / "a.jpg").as_uri())], refs.schema)).coalesce(1)
     fetched = tables.fetch_payloads_by_path(many, "image_path", threads=2, chunk=2)
     assert {r.id: r.content and bytes(r.content) for r in fetched.collect()} == {1: b"bytes", 2: None, 3: b"bytes"}
