@@ -36,8 +36,14 @@ def repetition(sizes: DataFrame, weights: DataFrame) -> DataFrame:
     """source, rate: how often each document is wanted, so that sources get their weights and the total stays.
 
     A source without a weight is left out of the mixture (rate 0). A source without characters keeps its rows (rate 1).
+    Weights of a source listed more than once add up, null counts as 0, and a source that no document has is ignored.
+    A weight that is negative or no finite number ends the job.
     """
-    both = sizes.join(weights.select(F.col("source").alias("target"), "weight"), F.col("source").eqNullSafe(F.col("target")), "left")
+    given = F.coalesce(F.col("weight").cast("double"), F.lit(0.0))
+    bad = F.raise_error(F.concat(F.lit("a weight must be finite and not negative: "), given.cast("string"))).cast("double")
+    fair = F.when((given >= 0) & (given < float("inf")), given).otherwise(bad)
+    targets = weights.groupBy(F.col("source").alias("target")).agg(F.sum(fair).alias("weight"))
+    both = sizes.join(targets, F.col("source").eqNullSafe(F.col("target")), "left")
     rows = both.select("source", F.col("size").cast("double").alias("size"), F.coalesce("weight", F.lit(0.0)).cast("double").alias("weight"))
     sums = rows.agg(
         F.sum("size").alias("s"), F.sum(F.when(F.col("size") > 0, F.col("weight"))).alias("w"),

@@ -76,8 +76,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizers: str = TOKENIZERS, max
             out.close()
             yield [[path], [-1], [None], [length]]
 
-    kinds = [("path", pa.string()), ("ordinal", pa.int64()), ("doc_id", pa.int64()), ("length", pa.int64())]
-    return cut_lineage(make_rows(docs.select(col("doc_id").cast("long"), col("text").cast("string")), kinds, work))
+    kinds = [("path", pa.string()), ("ordinal", pa.int64()), ("doc_id", pa.string()), ("length", pa.int64())]
+    return cut_lineage(make_rows(docs.select(col("doc_id").cast("string"), col("text").cast("string")), kinds, work))
 
 
 def separators(files: DataFrame, folder: str, end: int = END_OF_DOCUMENT, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -140,7 +140,11 @@ def document_lengths(files: DataFrame, folder: str, end: int = END_OF_DOCUMENT,
 
 
 def token_counts(docs: DataFrame, folder: str | None = None, tokenizers: str = TOKENIZERS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """doc_id, n_tokens: the documents written as token files and counted by scanning these. Every row stays."""
+    """doc_id, n_tokens: the documents written as token files and counted by scanning these.
+
+    Every row stays, repeated ones and those without an id too. Null and empty texts have no tokens. Ids may have any
+    type that casts to text and back. An empty table writes no files and gives no rows.
+    """
     spark: SparkSession = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
     manifest = write_tokens(docs, folder, tokenizers)
@@ -148,4 +152,4 @@ def token_counts(docs: DataFrame, folder: str | None = None, tokenizers: str = T
     counted = document_lengths(files, folder, block_tokens=block_tokens)
     return manifest.where("ordinal >= 0").select("path", "ordinal", "doc_id").join(
         counted.select("path", "ordinal", "n_tokens"), ["path", "ordinal"]
-    ).select("doc_id", "n_tokens")
+    ).select(F.col("doc_id").cast(docs.select(col("doc_id")).schema[0].dataType), "n_tokens")

@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
 
     Of each class the ``max_per_class`` documents that come first by hash take part, but for texts of more than
     ``max_chars`` characters; so the sample stays under 60 million characters whatever the tables' size. Rows without an
-    id or label do not take part.
+    id or label do not take part; of rows with one id the least by text hash does, and the greatest of its labels.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("label_id")).agg(
         F.max("toxic").alias("toxic")
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
     # ids alone are sorted; at most 2 * max_per_class of them meet the texts
     sample = docs.select(col("doc_id"), col("text").cast("string").alias("text")).where(F.length("text") <= max_chars).join(
         F.broadcast(chosen[0].unionByName(chosen[1])), F.col("doc_id") == F.col("label_id")
-    ).dropDuplicates(["label_id"]).orderBy(order, "label_id").limit(2 * max_per_class)
+    ).groupBy("label_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")).orderBy(order, "label_id").limit(2 * max_per_class)
 
     def work(batches):
         texts, toxic = [], []

@@ -13,11 +13,12 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.llm.common import col, make_rows, store
 from tablewright.session import cut_lineage, scratch_path
@@ -29,22 +30,33 @@ MAX_ARCHIVE_BYTES = 256 * 2**20
 CHUNK = 2**20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 DATE = "1970-01-01T00:00:00Z"
-_PAGE = re.compile(r"<urn:page:(-?[0-9]+)>").fullmatch
+_PAGE = re.compile(r"<urn:page(-text)?:([^<>]*)>").fullmatch
+
+Id = int | str
 
 
 def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str = DATE) -> bytes:
-    """One record as a gzip member. A revisit keeps the HTTP head, with the payload's length, and leaves out the payload."""
+def urn(page_id: Id) -> str:
+    return f"<urn:page:{page_id}>" if isinstance(page_id, int) else f"<urn:page-text:{quote(page_id)}>"
+
+
+def page_of(found: str | None) -> Id | None:
+    match = _PAGE(found or "")
+    return match and (unquote(match[2]) if match[1] else int(match[2]))
+
+
+def record(page_id: Id | None, url: str | None, payload: bytes, refers_to: Id | None, date: str = DATE) -> bytes:
+    """One record as a gzip member. Ids are numbers, or text that is percent-encoded. A revisit keeps the HTTP head, with the payload's length, and leaves out the payload."""
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = head + (payload if refers_to is None else b"")
     lines = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:{f'page:{page_id}' if page_id is not None else f'uuid:{uuid.uuid4()}'}>", f"WARC-Date: {date}",
+        f"WARC-Record-ID: {urn(page_id) if page_id is not None else f'<urn:uuid:{uuid.uuid4()}>'}", f"WARC-Date: {date}",
         *([f"WARC-Target-URI: {quote(url, safe=_URL)}"] if url else []),
-        *([f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"] if refers_to is not None else []),
+        *([f"WARC-Refers-To: {urn(refers_to)}", f"WARC-Profile: {PROFILE}"] if refers_to is not None else []),
         f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}",
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
@@ -60,7 +72,7 @@ def planned(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """page_id, url, html and refers_to: the smallest page_id with an equal payload of ``min_bytes`` at least, where it is another.
 
     Null html is an empty payload. Rows without an id are never revisits, and repeated rows with the smallest id are all
-    responses. Payloads are compared by their SHA-1; only pages whose payload occurs more than once are looked up.
+    responses. Ids of any type that casts to text and back are compared in their own type. Payloads are compared by their SHA-1; only pages whose payload occurs more than once are looked up.
     """
     rows = pages.select(
         col("page_id"), col("url").cast("string").alias("url"), F.coalesce(col("html").cast("string"), F.lit("")).alias("html")
@@ -88,7 +100,8 @@ def write_archives(plan: DataFrame, folder: str, max_bytes: int = MAX_ARCHIVE_BY
                 if out is None:
                     path, n = f"{top}/{uuid.uuid4().hex}.warc.gz", 0
                     out = fs.open_output_stream(path, compression=None)
-                out.write(record(page_id, url, html.encode(), refers_to))
+                ids = [x if x is None else read(x) for x in (page_id, refers_to)]
+                out.write(record(ids[0], url, html.encode(), ids[1]))
                 n += 1
                 if out.tell() >= max_bytes:
                     out.close()
@@ -99,6 +112,8 @@ def write_archives(plan: DataFrame, folder: str, max_bytes: int = MAX_ARCHIVE_BY
             done.append((path, n))
         yield [[p for p, _ in done], [n for _, n in done]]
 
+    read = int if isinstance(plan.schema["page_id"].dataType, T.IntegralType) else str
+    plan = plan.select(F.col("page_id").cast("string"), "url", "html", F.col("refers_to").cast("string"))
     return cut_lineage(make_rows(plan, [("path", pa.string()), ("records", pa.int64())], work))
 
 
@@ -140,24 +155,23 @@ def parsed(content: bytes) -> dict:
     digest = fields["warc-payload-digest"].removeprefix("sha1:")
     if fields["warc-type"] == "response" and (len(payload) != size or sha1_base32(payload) != digest):
         raise ValueError(f"record {fields['warc-record-id']}: the payload differs")
-    number = lambda x: int(m[1]) if x and (m := _PAGE(x)) else None
     return {
-        "page_id": number(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "payload_bytes": size,
-        "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": number(fields.get("warc-refers-to")),
+        "page_id": page_of(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "payload_bytes": size,
+        "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": page_of(fields.get("warc-refers-to")),
         "payload": payload,
     }
 
 
 KINDS = [
-    ("path", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
-    ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+    ("path", pa.string()), ("offset", pa.int64()), ("page_id", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()),
+    ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()),
 ]
 
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """The records of the archives (path) below ``folder``, in tasks that read one archive after the other.
 
-    A broken frame or digest ends the job with the record's name.
+    Ids are text. A broken frame or digest ends the job with the record's name.
     """
 
     def work(batches):
@@ -168,6 +182,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                 with fs.open_input_stream(path, compression=None) as stream:
                     for offset, content in members(stream):
                         x = parsed(content)
+                        x.update((k, x[k] if x[k] is None else str(x[k])) for k in ("page_id", "refers_to"))
                         rows.append((path, offset, *(x[n] for n, _ in KINDS[2:])))
                         if len(rows) == 1000:
                             yield [list(c) for c in zip(*rows, strict=True)]
@@ -179,6 +194,13 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write the pages as archives and read them back; an empty table writes none and gives no rows."""
+    """Write the pages as archives and read them back, with ids in the type they came in.
+
+    An empty table writes none and gives no rows. Every row stays, repeated ones and those without an id too; columns
+    other than page_id, url and html are not looked at.
+    """
     folder = folder or scratch_path(pages.sparkSession, "archives")
-    return read_archives(write_archives(planned(pages), folder), folder)
+    plan = planned(pages)
+    kind = plan.schema["page_id"].dataType
+    back = read_archives(write_archives(plan, folder), folder)
+    return back.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
