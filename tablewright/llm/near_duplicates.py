@@ -38,8 +38,11 @@ LOG_RATIO = 20.0
 LEAST_BANDS = 3
 #: Edges that a task of the component search reads, about 5 MB.
 EDGES_PER_TASK = 50_000
-#: Classes in a block that is compared with another block at once.
+#: Classes in a block whose full sets are compared with another block's at once, and in one whose sketches are.
 BLOCK = 256
+SKETCH_BLOCK = 1024
+#: Pairs of sketches that are compared at once, about 10 MB.
+PAIRS = 20_000
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
@@ -130,16 +133,21 @@ def fits(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
 
 
+def band_keys(found: list[bytes]) -> np.ndarray:
+    """A row of hashed register values, one for each band, for each sketch."""
+    registers = np.frombuffer(b"".join(found), dtype=np.uint8).reshape(-1, BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), registers.shape[:2])
+    for r in range(ROWS):
+        key = mixed(key * np.uint64(65_537) + registers[:, :, r])
+    return key.view(np.int64)
+
+
 def band_rows(classes: DataFrame) -> DataFrame:
-    """(band, digest, n): each class under its bands' hashed register values."""
+    """(bands, digest, n): each class with its bands' hashed register values."""
 
     def work(batches):
         for digests, counts, found in batches:
-            registers = np.frombuffer(b"".join(found), dtype=np.uint8).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), registers.shape[:2])
-            for r in range(ROWS):
-                key = mixed(key * np.uint64(65_537) + registers[:, :, r])
-            yield [key.view(np.int64).tolist(), digests, counts]
+            yield [band_keys(found).tolist(), digests, counts]
 
     kinds = [("bands", pa.list_(pa.int64())), ("digest", pa.binary()), ("n", pa.int64())]
     return make_rows(classes.select("digest", "n", "sketch"), kinds, work)
@@ -379,15 +387,65 @@ def shared_counts(x: list[np.ndarray], y: list[np.ndarray], width: int = 8192) -
 def between_pools(members: DataFrame, pools: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links a, b of classes in one band bucket whose likeness to the bucket's hub did not bring them into one pool.
 
-    Members that are like each other have like hubs, so these are the chance meetings of unlike texts, and few.
+    Texts that share a passage but little else meet here in great numbers. A bucket is cut into blocks of SKETCH_BLOCK
+    classes, and a task compares the sketches of two blocks; only pairs that are likely similar leave it, each from the
+    first band that it shares, so rows grow with the members and not with their pairs.
     """
     rest = _rooted(members, "digest", pools).withColumnRenamed("root_digest", "root")
-    split = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("band")
-    rest = rest.join(split, "band")
-    side = lambda x: rest.select("band", *(F.col(c).alias(f"{c}_{x}") for c in ("digest", "n", "root")))
-    met = side("a").join(side("b"), "band").where((F.col("root_a") < F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")))
-    pairs = met.groupBy(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).agg(F.count("*").alias("met"))
-    return confirmed(plausible(pairs.where(F.col("met") >= LEAST_BANDS).select("a", "b"), classes), sets)
+    split = rest.groupBy("band").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("blocks")
+    ).where("x != y").select("band", "blocks")
+    rest = rest.join(split, "band").join(classes.select("digest", "sketch"), "digest")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    meet = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
+    )
+    dealt = rest.select("band", F.explode(meet).alias("at"), "block", "digest", "root", "n", "sketch")
+    dealt = dealt.repartition("band", "at").sortWithinPartitions("band", "at")
+
+    def work(batches):
+        key, held = None, []
+        for columns in batches:
+            for band, at, *row in zip(*columns, strict=True):
+                if (now := (band, at["i"], at["j"])) != key:
+                    if held:
+                        yield from _likely_pairs(held, *key)
+                    key, held = now, []
+                held.append(row)
+        if held:
+            yield from _likely_pairs(held, *key)
+
+    pairs = make_rows(dealt, [("a", pa.binary()), ("b", pa.binary())], work)
+    return confirmed(cut_lineage(pairs), sets)
+
+
+def _likely_pairs(rows: list[list], band: int, i: int, j: int):
+    """Pairs of different pools between blocks i and j of a bucket, from rows (block, digest, root, n, sketch).
+
+    Pairs that share fewer than LEAST_BANDS bands, or an earlier band than this one, are left out before the likelihood.
+    """
+    left, right = ([r for r in rows if r[0] == side] for side in (i, j))
+    if not left or not right:
+        return
+    place = int(np.flatnonzero(band_keys([left[0][4]])[0] == band)[0])
+    code = {root: k for k, root in enumerate({r[2] for r in rows})}
+    (ra, na, a), (rb, nb, b) = (
+        (np.array([code[r[2]] for r in side]), np.array([r[3] for r in side], float),
+         np.frombuffer(b"".join(r[4] for r in side), np.uint8).reshape(-1, REGISTERS))
+        for side in (left, right)
+    )
+    met = (ra[:, None] != rb) & (100 * np.minimum(na[:, None], nb) >= THRESHOLD * np.maximum(na[:, None], nb))
+    p, q = np.nonzero(np.triu(met, 1) if i == j else met)
+    for start in range(0, len(p), PAIRS):
+        x, y = p[start : start + PAIRS], q[start : start + PAIRS]
+        shared = (a[x] == b[y]).reshape(-1, BANDS, ROWS).all(axis=2)
+        own = np.flatnonzero((shared.sum(axis=1) >= LEAST_BANDS) & (shared.argmax(axis=1) == place))
+        if len(own):
+            x, y = x[own], y[own]
+            _, short = similarity(a[x], b[y], na[x], nb[y])
+            likely = np.flatnonzero(short <= LOG_RATIO)
+            yield [[left[k][1] for k in x[likely]], [right[k][1] for k in y[likely]]]
 
 
 def groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
