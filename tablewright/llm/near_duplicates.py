@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import add_columns, chunks, col, fresh, make_rows, mixed, word_hashes
+from tablewright.llm.common import add_columns, chunks, col, fresh, make_rows, mixed, spark_type, word_hashes
 from tablewright.session import cut_lineage
 
 SHINGLE = 2
@@ -222,11 +222,43 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return make_rows(both, [("a", pa.binary()), ("b", pa.binary())], work)
 
 
+def forests(edges: DataFrame) -> DataFrame:
+    """Edges a, b with the same components: of EDGES_PER_TASK edges at a time, each node with the least that it reaches by them."""
+    kind = next(k for k in (pa.binary(), pa.int64(), pa.string()) if spark_type(k) == edges.schema["a"].dataType)
+
+    def stars(pairs):
+        parent: dict = {}
+
+        def top(node):
+            while (up := parent.setdefault(node, node)) != node:
+                parent[node] = node = parent[up]
+            return node
+
+        for a, b in pairs:
+            a, b = top(a), top(b)
+            parent[max(a, b)] = min(a, b)
+        found = [(node, root) for node in list(parent) if (root := top(node)) != node]
+        return [[node for node, _ in found], [root for _, root in found]]
+
+    def work(batches):
+        held = []
+        for a, b in batches:
+            held += zip(a, b, strict=True)
+            if len(held) >= EDGES_PER_TASK:
+                yield stars(held)
+                held = []
+        if held:
+            yield stars(held)
+
+    return make_rows(edges.select("a", "b"), [("a", kind), ("b", kind)], work)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of the edges a, b: root is the least node that can be reached.
 
-    Large and small stars in turn, until nothing changes. Every round is written out; only its count and a checksum
-    come to the driver.
+    Stars of some edges at a time within tasks, then large and small stars over all edges in turn, until nothing changes.
+    Each of these steps lowers the edges' ends or leaves all as they are. Every round is written out; only its count and a
+    checksum come to the driver.
     """
 
     def mark(df):
@@ -238,7 +270,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut_lineage(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = mark(now)
     while before[0]:
-        now = gathered(now, before[0])
+        now = cut_lineage(forests(gathered(now, before[0])))
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -263,11 +295,12 @@ def _rooted(df: DataFrame, name: str, roots: DataFrame) -> DataFrame:
 def class_roots(docs: DataFrame, classes: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node, root for the classes (digest, n, sketch, rep, rep_key) that are linked with another."""
     banded = band_rows(classes)
-    rows = banded.select(F.explode("bands").alias("band"), "digest", "n").withColumn("order", F.xxhash64("digest", "band"))
+    rows = banded.select(F.explode("bands").alias("band"), "digest", "n")
     # the hub of a bucket is the class whose hash with the band comes first; counts and hashes alone are grouped
-    met = rows.groupBy("band").agg(F.count("*").alias("size"), F.min("order").alias("first")).where("size > 1")
+    order = F.xxhash64("digest", "band")
+    met = rows.groupBy("band").agg(F.count("*").alias("size"), F.min(order).alias("first")).where("size > 1")
     members = cut_lineage(rows.join(met.drop("size"), "band"))
-    hubs = members.where("order = first").select("band", F.struct("digest", "n").alias("hub"))
+    hubs = members.where(order == F.col("first")).select("band", F.struct("digest", "n").alias("hub"))
     members = members.select("band", "digest", "n")
     met_hub = members.join(hubs, "band")
     star = (
