@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.ordered import top_per_group
-from tablewright.operators.vectors import as_matrix, block_hits, each_slot, nearest, slot, unit_rows
+from tablewright.operators.vectors import SIDE_VALUES, as_matrix, block_hits, each_slot, nearest, side_rows, slot, unit_rows
 
 #: Queries whose neighbours are searched exactly to choose the tables, and corpus rows that stand for all others.
 SAMPLE = 200
@@ -108,16 +108,18 @@ def fit_tables(queries: DataFrame, corpus: DataFrame, k: int, recall: float = 0.
 
 
 def nearest_by_tables(
-    queries: DataFrame, corpus: DataFrame, k: int, tables: Tables, block_rows: int = 4096, digits: int = 6
+    queries: DataFrame, corpus: DataFrame, k: int, tables: Tables, block_rows: int = 4096, digits: int = 6,
+    side_values: int = SIDE_VALUES,
 ) -> DataFrame:
     """The k best by cosine among the corpus rows that share a bucket with a query: query_id, rank, corpus_id, score.
 
-    A crowded bucket is cut into blocks on both sides, as many as its rows need, so a bucket may hold any share of them.
+    A crowded bucket is cut into sides that a task can hold, as many as its rows need, so a bucket may hold any share of them.
     """
+    _, side = side_rows(corpus, block_rows, side_values)
     find = tables.buckets()
     asked = queries.select("query_id", "vector", F.explode(find("vector")).alias("bucket"))
     known = corpus.select("corpus_id", "vector", F.explode(find("vector")).alias("bucket"))
-    blocks = lambda n: F.ceil(F.count(F.lit(1)) / block_rows).alias(n)
+    blocks = lambda n: F.ceil(F.count(F.lit(1)) / side).alias(n)
     met = known.groupBy("bucket").agg(blocks("c_blocks")).join(asked.groupBy("bucket").agg(blocks("q_blocks")), "bucket")
     left = asked.join(met, "bucket").select(
         "query_id", "vector", "bucket", slot("query_id", F.col("q_blocks")).alias("q"), each_slot(F.col("c_blocks")).alias("c")

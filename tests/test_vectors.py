@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,64 @@ def test_k_above_corpus_size(spark, data):
     assert got.count() == 2 * len(queries)
 
 
+@pytest.mark.parametrize("metric", ["dot", "cosine", "l2"])
+def test_many_sides_and_tiles_are_exact(spark, data, metric):
+    queries, corpus = data
+    asked, known = make(spark, queries, "query_id"), make(spark, corpus, "corpus_id")
+    want = sorted(map(tuple, vectors.nearest(asked, known, 4, metric).collect()))
+    got = vectors.nearest(asked, known, 4, metric, block_rows=5, side_values=40, tile=3)
+    assert sorted(map(tuple, got.collect())) == want
+    centres = vectors.fit_cells(known, 5)
+    for probes in (2, 5):
+        few = vectors.nearest_in_cells(asked, known, 4, centres, probes, metric, block_rows=5, side_values=40, tile=3)
+        assert sorted(map(tuple, few.collect())) == sorted(
+            map(tuple, vectors.nearest_in_cells(asked, known, 4, centres, probes, metric).collect()))
+    assert sorted(map(tuple, vectors.nearest_in_cells(asked, known, 4, centres, 5, metric).collect())) == want
+
+
+def test_queries_see_their_closest_cells_only(spark, data):
+    queries, corpus = data
+    known = make(spark, corpus, "corpus_id")
+    centres = vectors.fit_cells(known, 5)
+    near = lambda m, n: np.argsort(-(np.float64(np.float32(m)) @ centres.T), axis=1, kind="stable")[:, :n]
+    probed, cell = near(queries, 2), near(corpus, 1)[:, 0]
+    found = vectors.nearest_in_cells(make(spark, queries, "query_id"), known, 90, centres, 2, side_values=90).collect()
+    assert {(r.query_id, r.corpus_id) for r in found} == {(q, c) for q in range(len(queries)) for c in range(90) if cell[c] in probed[q]}
+
+
+def test_kernel_in_any_order():
+    rng = np.random.default_rng(5)
+    known = np.concatenate([np.repeat(rng.standard_normal((3, 4)), 30, axis=0), rng.standard_normal((60, 4))])
+    asked, ids = np.concatenate([known[::7], np.zeros((1, 4))]), rng.permutation(len(known))
+    frame = lambda name, ids, m: pd.DataFrame({name: ids, "vector": list(m)})
+    for metric in vectors.METRICS:
+        for sign in (1, -1):  # best last, best first
+            by = np.argsort(sign * (known @ asked[0]))
+            found = vectors.best_in_block(
+                frame("query_id", np.arange(len(asked)), asked), frame("corpus_id", ids[by], known[by]), 6, metric, 6, tile=8)
+            a, b = (vectors.unit_rows(asked), vectors.unit_rows(known)) if metric == "cosine" else (asked, known)
+            scores = -np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1)) if metric == "l2" else a @ b.T
+            scores = np.round(scores, 6) + 0.0
+            for q in range(len(asked)):
+                best = sorted(range(len(known)), key=lambda c: (-scores[q, c], ids[c]))[:6]
+                assert found[found.query_id == q].corpus_id.tolist() == [ids[c] for c in best]
+
+
+def test_rows_are_not_copied_once_per_block(spark, monkeypatch):
+    rows, copies = 1500, []
+    hits = vectors.block_hits
+    monkeypatch.setattr(vectors, "block_hits", lambda a, b, *rest: copies.extend([a.count(), b.count()]) or hits(a, b, *rest))
+    matrix = np.random.default_rng(6).standard_normal((rows, 4))
+    asked, known = make(spark, matrix, "query_id"), make(spark, matrix, "corpus_id")
+    once = 2 * spark.sparkContext.defaultParallelism
+    assert vectors.nearest(asked, known, 3, "dot", block_rows=16).count() == 3 * rows
+    assert sum(copies) <= rows * (once + 1)
+    copies.clear()
+    centres = vectors.fit_cells(known, 30)
+    assert vectors.nearest_in_cells(asked, known, 3, centres, probes=30, block_rows=4).count() == 3 * rows
+    assert sum(copies) <= rows * (once + 1)
+
+
 def test_unknown_metric(spark, data):
     queries, corpus = data
     with pytest.raises(ValueError):
