@@ -64,6 +64,24 @@ def test_pruning_changes_nothing(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, best.collect()))
 
 
+def test_several_items_are_matched_by_parts(spark):
+    """Cart rows grow with the parts in the cart, not with the rules that share an item."""
+    rng = random.Random(9)
+    items = [f"i{i:02d}" for i in range(14)]
+    table = spark.createDataFrame(random_rules(rng, items), RULES)
+    carts = [(f"o{i}", rng.sample(items, rng.randint(1, 7))) for i in range(60)] + [("gap", ["i01", None]), ("two", ["i03", "i03"])]
+    carts = spark.createDataFrame(carts, CARTS)
+    index = rules.index_rules(table)
+    best = rules.best_consequents(rules.match_rules(carts, index))
+    want = rules.top_per_group(best, ["order_id"], [F.col("rule_score").desc(), "consequent"], 4)
+    assert sorted(map(tuple, rules.rank_consequents(carts, index, 4).collect())) == sorted(map(tuple, want.collect()))
+    assert rules.best_by_parts(carts, index, 4).count() <= best.count()
+    parts = rules.antecedent_parts(index)
+    met = carts.select(F.explode(rules.known_items("cart")).alias("item")).join(index.rows, "item").count()
+    held = carts.crossJoin(parts).where(F.size(F.array_intersect("cart", "part")) == F.size("part"))
+    assert held.where(F.col("ahead") < F.size("cart") - F.size("part") + 4).count() < met / 3
+
+
 def test_without_broadcast(spark, monkeypatch):
     rng = random.Random(5)
     items = [f"i{i}" for i in range(6)]
