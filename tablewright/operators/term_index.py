@@ -1,26 +1,33 @@
 """Cosine search over sparse term weights through an inverted index with an upper bound for every term.
 
 A text is a sparse vector: its words, weighted by count and rarity, of unit length. The index holds one row per word and
-text. What a word can add to a score is at most the query's weight times the word's largest weight in any text. Words
-that lead a query give the scores that its k-th best text must beat; texts that hold only words whose bounds together
-stay below that are never looked at, and those that cannot reach it are dropped before their scores are completed.
+text. Texts and queries are dealt into sides of bounded rows. A task holds one side of each and adds up scores word by
+word, those first that can add most: at most the query's weight times the word's largest weight in any text of the side.
+Once the words that are left cannot lift other texts to the k-th best score, they are looked up for the texts in reach only.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.columns import as_col
 from tablewright.operators.ordered import top_per_group
+from tablewright.operators.vectors import each_slot, slot
 from tablewright.session import cut_lineage
 
 # letters and digits of any script
 WORD = r"[\p{L}\p{N}]+"
 #: The share of a query's bounds that its leading words cover.
 LEAD = 0.5
+#: Rows of each side that a task holds.
+SIDE_ROWS = 1 << 22
 DIGITS = 6
 #: More than rounding to DIGITS and the order of a sum can change.
 SLACK = 2e-6
@@ -36,15 +43,15 @@ def term_counts(docs: DataFrame, id_name: str, text: str) -> DataFrame:
 
 
 def weighted(counts: DataFrame, stats: DataFrame, id_name: str) -> DataFrame:
-    """id_name, term, weight: counts times rarity, of unit length; words that no text of the index has are left out."""
-    raw = counts.join(stats.select("term", "rarity"), "term").withColumn("raw", F.col("n") * F.col("rarity"))
+    """id_name, term_id, weight: counts times rarity, of unit length; words that no text of the index has are left out."""
+    raw = counts.join(stats.select("term", "term_id", "rarity"), "term").withColumn("raw", F.col("n") * F.col("rarity"))
     norms = raw.groupBy(id_name).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")).where("norm > 0")
-    return raw.join(norms, id_name).select(id_name, "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    return raw.join(norms, id_name).select(id_name, "term_id", (F.col("raw") / F.col("norm")).alias("weight"))
 
 
 @dataclass(frozen=True)
 class TermIndex:
-    """Rows (corpus_id, term, weight) and words (term, df, rarity, top): top is the largest weight of a word."""
+    """Rows (corpus_id, term_id, weight) and words (term, term_id, df, rarity)."""
 
     rows: DataFrame
     terms: DataFrame
@@ -56,54 +63,91 @@ def build_index(docs: DataFrame, id_name: str = "id", text: str = "content") ->
     # a text without words counts too
     rarity = F.log((F.lit(docs.count()) + 1) / (F.col("df") + 1))
     stats = cut_lineage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("rarity", rarity))
-    rows = cut_lineage(weighted(counts, stats, id_name).select(F.col(id_name).alias("corpus_id"), "term", "weight"))
-    tops = rows.groupBy("term").agg(F.max("weight").alias("top"))
-    return TermIndex(rows, cut_lineage(stats.join(tops, "term")))
+    # the written copy keeps its rows in place
+    stats = cut_lineage(stats.withColumn("term_id", F.monotonically_increasing_id()))
+    return TermIndex(cut_lineage(weighted(counts, stats, id_name).withColumnRenamed(id_name, "corpus_id")), stats)
 
 
-def query_terms(queries: DataFrame, index: TermIndex, id_name: str = "id", text: str = "question") -> DataFrame:
-    """query_id, term, q (its weight), most (the bound of what it adds), rest (most of it and all words behind it)."""
-    own = weighted(term_counts(queries, id_name, text), index.terms, id_name).withColumnRenamed(id_name, "query_id")
-    own = own.join(index.terms.select("term", "top"), "term").select(
-        "query_id", "term", F.col("weight").alias("q"), (F.col("weight") * F.col("top")).alias("most")
-    )
-    # a query has as many rows as words
-    behind = Window.partitionBy("query_id").orderBy(F.desc("most"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return own.withColumn("rest", F.sum("most").over(behind))
+def best_in_sides(queries: pd.DataFrame, corpus: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best texts of a side for each query of a side: query_id, corpus_id, score; equal scores by id.
 
-
-def partial_scores(terms: DataFrame, index: TermIndex) -> DataFrame:
-    """query_id, corpus_id, score over the given words only."""
-    met = terms.select("query_id", "term", "q").join(index.rows, "term")
-    return met.groupBy("query_id", "corpus_id").agg(F.sum(F.col("q") * F.col("weight")).alias("score"))
-
-
-def best_matches(queries: DataFrame, index: TermIndex, k: int, id_name: str = "id", text: str = "question") -> DataFrame:
+    ``queries`` holds (query_id, term_id, q), ``corpus`` (corpus_id, term_id, weight), a row per word.
+    """
+    ids, text = np.unique(corpus["corpus_id"].to_numpy(), return_inverse=True)
+    term = corpus["term_id"].to_numpy()
+    by = np.lexsort((text, term))
+    text, term, weight = text[by], term[by], corpus["weight"].to_numpy()[by]
+    words, start = np.unique(term, return_index=True)
+    end = np.append(start[1:], len(term))
+    top = np.maximum.reduceat(weight, start) if len(start) else weight
+    queries = queries[queries["term_id"].isin(words)].sort_values("query_id", kind="stable")
+    query = queries["query_id"].to_numpy()
+    at, share = np.searchsorted(words, queries["term_id"].to_numpy()), queries["q"].to_numpy()
+    first = np.flatnonzero(np.append(True, query[1:] != query[:-1])) if len(query) else []
+    total = np.zeros(len(ids))
+    out_query, out_text, out_score = [], [], []
+    for i, j in zip(first, [*first[1:], len(query)]):
+        most = share[i:j] * top[at[i:j]]
+        order = np.argsort(-most, kind="stable")
+        rest = np.append(np.cumsum(most[order][::-1])[::-1], 0.0)
+        total[:] = 0.0
+        floor, done = None, 0
+        for n, o in enumerate(order):
+            if floor is None and rest[n] <= (1 - LEAD) * rest[0] and len(total) > k:
+                floor = np.partition(total, len(total) - k)[len(total) - k]
+            if floor is not None and rest[n] + SLACK < floor:
+                break
+            a, b = start[at[i + o]], end[at[i + o]]
+            total[text[a:b]] += share[i + o] * weight[a:b]
+            done = n + 1
+        if done == len(order):
+            if len(total) > k and (kth := np.partition(total, len(total) - k)[len(total) - k]) > SLACK:
+                reach = np.flatnonzero(total >= kth - SLACK)
+            else:
+                # a word of all texts weighs nothing, but texts that hold it are found
+                reach = np.unique(np.concatenate([text[start[w] : end[w]] for w in at[i:j]]))
+            score = total[reach]
+        else:
+            reach = np.flatnonzero(total >= floor - rest[done] - SLACK)
+            score = total[reach]
+            for o in order[done:]:
+                a, b = start[at[i + o]], end[at[i + o]]
+                place = np.minimum(np.searchsorted(text[a:b], reach), b - a - 1) + a
+                score += np.where(text[place] == reach, share[i + o] * weight[place], 0.0)
+        score = np.round(score, DIGITS)
+        best = np.lexsort((reach, -score))[:k]
+        out_query.append(np.full(len(best), query[i]))
+        out_text.append(reach[best])
+        out_score.append(score[best])
+    if not out_query:
+        return pd.DataFrame({"query_id": [], "corpus_id": [], "score": []})
+    return pd.DataFrame({
+        "query_id": np.concatenate(out_query), "corpus_id": ids[np.concatenate(out_text)], "score": np.concatenate(out_score)
+    })
+
+
+def best_matches(
+    queries: DataFrame, index: TermIndex, k: int, id_name: str = "id", text: str = "question", side_rows: int = SIDE_ROWS
+) -> DataFrame:
     """Exact top-k by cosine: query_id, rank, corpus_id, score, equal scores by id.
 
     Only texts that share a word with the query are found, so a query may have fewer than k, or none.
     """
-    terms = cut_lineage(query_terms(queries, index, id_name, text))
-    whole = terms.groupBy("query_id").agg(F.sum("most").alias("all"))
-    terms = terms.join(whole, "query_id")
-    # the words before those whose bounds sum up to less than the other part of all
-    leading = terms.where(F.col("rest") > F.col("all") * (1 - LEAD))
-    first = top_per_group(partial_scores(leading, index), ["query_id"], [F.desc("score"), "corpus_id"], k)
-    floors = first.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) == k, F.min("score") - SLACK).otherwise(F.lit(0.0)).alias("floor")
-    )
-    terms = cut_lineage(terms.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))))
-    needed = terms.where(F.col("rest") >= F.col("floor"))
-    left = terms.where(F.col("rest") < F.col("floor"))
-    open_ = left.groupBy("query_id").agg(F.sum("most").alias("open"))
-    floor = terms.groupBy("query_id").agg(F.first("floor").alias("floor"))
-    bounds = floor.join(open_, "query_id", "left").select("query_id", "floor", F.coalesce("open", F.lit(0.0)).alias("open"))
-    able = cut_lineage(
-        partial_scores(needed, index).join(bounds, "query_id").where(F.col("score") + F.col("open") >= F.col("floor"))
-        .select("query_id", "corpus_id", "score")
-    )
-    more = able.select("query_id", "corpus_id").join(left.select("query_id", "term", "q"), "query_id").join(
-        index.rows, ["corpus_id", "term"]
-    ).select("query_id", "corpus_id", (F.col("q") * F.col("weight")).alias("score"))
-    scores = able.unionByName(more).groupBy("query_id", "corpus_id").agg(F.round(F.sum("score"), DIGITS).alias("score"))
-    return top_per_group(scores, ["query_id"], [F.desc("score"), "corpus_id"], k).select("query_id", "rank", "corpus_id", "score")
+    asked = cut_lineage(weighted(term_counts(queries, id_name, text), index.terms, id_name).select(
+        F.col(id_name).alias("query_id"), "term_id", F.col("weight").alias("q")
+    ))
+    text_sides = max(1, math.ceil(index.rows.count() / side_rows))
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    query_sides = max(1, math.ceil(asked.count() / side_rows), math.ceil(2 * cores / text_sides))
+    pairs = text_sides * query_sides
+    # pairs are small but slow, so they must not be coalesced by size; spare partitions keep two of them apart
+    tasks = max(pairs, min(4 * pairs, 8 * cores))
+    left = asked.select("*", slot("query_id", query_sides).alias("a"), each_slot(text_sides).alias("t")).repartition(tasks, "a", "t")
+    right = index.rows.select("*", slot("corpus_id", text_sides).alias("t"), each_slot(query_sides).alias("a")).repartition(tasks, "a", "t")
+    schema = T.StructType([
+        T.StructField("query_id", asked.schema["query_id"].dataType),
+        T.StructField("corpus_id", index.rows.schema["corpus_id"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    found = left.groupBy("a", "t").cogroup(right.groupBy("a", "t")).applyInPandas(lambda a, b: best_in_sides(a, b, k), schema)
+    return top_per_group(found, ["query_id"], [F.desc("score"), "corpus_id"], k).select("query_id", "rank", "corpus_id", "score")

@@ -177,6 +177,20 @@ def test_index_finds_what_a_full_scan_finds(spark, k):
     index = term_index.build_index(spark.createDataFrame(docs, "id bigint, content string").repartition(3))
     found = term_index.best_matches(spark.createDataFrame(queries, "id bigint, question string"), index, k)
     assert sorted(map(tuple, found.collect())) == python_matches(queries, docs, k)
+    sides = term_index.best_matches(spark.createDataFrame(queries, "id bigint, question string"), index, k, side_rows=300)
+    assert sorted(map(tuple, sides.collect())) == python_matches(queries, docs, k)
+
+
+def test_texts_meet_queries_in_sides_and_not_by_word(spark, monkeypatch):
+    """A word that all share makes no row per pair of query and text; a word of all texts weighs nothing but is found."""
+    docs = spark.createDataFrame([(i, f"all most{i % 50} w{i}") for i in range(400)] + [(400, "all")], "id bigint, content string")
+    asked = spark.createDataFrame([(i, f"all w{i} most{i % 7}") for i in range(100)] + [(100, "all")], "id bigint, question string")
+    index = term_index.build_index(docs)
+    found = term_index.best_matches(asked, index, 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 0 and plan.count("FlatMapCoGroupsInPandas") == 1
+    got = found.collect()
+    assert {r.query_id: r.corpus_id for r in got if r["rank"] == 1} | {100: 0} == {i: i for i in range(100)} | {100: 0}
 
 
 def test_index_without_texts(spark):
