@@ -22,3 +22,17 @@ def test_als_tuned_searches_whole_and_refits(spark, sf, monkeypatch):
     assert asked == [{}] and len(settings) == 1
     assert rows and {(r["rank"], r.max_iter, r.hit) for r in rows} == {tuple(settings[0][c] for c in ("rank", "max_iter", "hit"))}
     assert max(r.place for r in rows) <= 20
+
+
+def test_each_iteration_lets_go_of_the_last_ones_files(spark, monkeypatch):
+    """Factors are written out in every iteration, which changes no number of the model."""
+    asked, als = [], factors.ALS
+    monkeypatch.setattr(factors, "ALS", lambda **given: asked.append(given) or als(**given))
+    rows = [(u, i, 1.0 / (1 + (u * i) % 7)) for u in range(30) for i in range(8) if (u + i) % 3]
+    shares = spark.createDataFrame(rows, "user_id int, item_id int, proportion_of_orders double").coalesce(1).persist()
+    model = factors.fit(shares, rank=3, max_iter=4)
+    assert asked[0]["checkpointInterval"] == 1
+    plain = als(**{**asked[0], "checkpointInterval": -1}).fit(shares)
+    items = lambda m: {r.id: list(r.features) for r in m.itemFactors.collect()}
+    assert items(model) == items(plain)
+    shares.unpersist()
