@@ -51,3 +51,14 @@ def test_problems_are_found(spark):
     assert plan_problems(df.withColumn("n", F.sum("id").over(Window.partitionBy())))
     assert plan_problems(df.crossJoin(df.withColumnRenamed("id", "other")))
     assert not plan_problems(df.withColumn("n", F.row_number().over(Window.partitionBy(F.col("id") % 3).orderBy("id"))))
+
+
+def test_baskets_place_their_lines_once(spark, sf):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(roles.basket_lists(spark, sf, "p_brand"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # lines and parts by part, then lines by order
+    assert text.split("\n\n")[0].count("Exchange (") == 3
