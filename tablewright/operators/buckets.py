@@ -114,8 +114,13 @@ def nearest_by_tables(
     """The k best by cosine among the corpus rows that share a bucket with a query: query_id, rank, corpus_id, score.
 
     A crowded bucket is cut into sides that a task can hold, as many as its rows need, so a bucket may hold any share of them.
+    Small buckets, of which there are far more, are dealt to tasks together.
     """
-    _, side = side_rows(corpus, block_rows, side_values)
+    n_corpus, side = side_rows(corpus, block_rows, side_values)
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    parts = max(4 * cores, math.ceil(n_corpus * tables.tables / side))
+    part = F.pmod(F.xxhash64("bucket", "q", "c"), F.lit(parts)).alias("part")
+    one = F.concat_ws("/", "bucket", "q", "c").alias("bucket")
     find = tables.buckets()
     asked = queries.select("query_id", "vector", F.explode(find("vector")).alias("bucket"))
     known = corpus.select("corpus_id", "vector", F.explode(find("vector")).alias("bucket"))
@@ -127,8 +132,9 @@ def nearest_by_tables(
     right = known.join(met, "bucket").select(
         "corpus_id", "vector", "bucket", slot("corpus_id", F.col("c_blocks")).alias("c"), each_slot(F.col("q_blocks")).alias("q")
     )
+    left, right = (df.select(name, "vector", part, one).repartition(parts, "part") for df, name in ((left, "query_id"), (right, "corpus_id")))
     # a pair may share many buckets
-    found = block_hits(left, right, ["bucket", "q", "c"], k, "cosine", digits).distinct()
+    found = block_hits(left, right, ["part"], k, "cosine", digits).distinct()
     return top_per_group(found, ["query_id"], [F.col("score").desc(), "corpus_id"], k).select(
         "query_id", "rank", "corpus_id", "score"
     )

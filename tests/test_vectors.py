@@ -235,6 +235,30 @@ def test_buckets_find_clustered_neighbours_among_few(spark):
     assert chosen.recall >= 0.9
 
 
+def test_small_buckets_share_a_group(spark, data, monkeypatch):
+    corpus = np.random.default_rng(8).standard_normal((400, 6))
+    asked, known = make(spark, corpus[::3], "query_id"), make(spark, corpus, "corpus_id")
+    tables, groups, hits = buckets.Tables(4, 6, 0.5), [], vectors.block_hits
+    monkeypatch.setattr(
+        buckets, "block_hits", lambda a, b, keys, *rest: groups.append(a.select(*keys).distinct().count()) or hits(a, b, keys, *rest))
+    want, find = [], tables.buckets()
+    placed = [df.select(name, F.explode(find("vector")).alias("b")).collect() for df, name in ((asked, "query_id"), (known, "corpus_id"))]
+    inside = {}
+    for r in placed[1]:
+        inside.setdefault(r.b, set()).add(r.corpus_id)
+    met = {}
+    for r in placed[0]:
+        met.setdefault(r.query_id, set()).update(inside[r.b])
+    a, b = (vectors.unit_rows(np.float64(np.float32(m))) for m in (corpus[::3], corpus))
+    for q, others in met.items():
+        scores = np.round(b @ a[q], 6)
+        want += [(q, i + 1, c) for i, c in enumerate(sorted(others, key=lambda c: (-scores[c], c))[:3])]
+    for size in (dict(), dict(block_rows=2, side_values=12)):
+        got = buckets.nearest_by_tables(asked, known, 3, tables, **size).select("query_id", "rank", "corpus_id").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert len(inside) > 1000 and groups[0] <= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_retrieve_context(spark):
     docs = spark.createDataFrame(TWEETS, "id bigint, content string")
     model = retrieval.fit_text_vectors(docs, dimensions=1024)
