@@ -1,5 +1,9 @@
 """The tuned query searches with the defaults and gives lists of the model fitted again."""
 
+import random
+
+from pyspark.sql import functions as F
+
 import __spark_entry__
 from tablewright.operators import factors
 
@@ -36,3 +40,41 @@ def test_each_iteration_lets_go_of_the_last_ones_files(spark, monkeypatch):
     items = lambda m: {r.id: list(r.features) for r in m.itemFactors.collect()}
     assert items(model) == items(plain)
     shares.unpersist()
+
+
+def order_pairs(spark):
+    draw = random.Random(3)
+    shares = [(u, i, 1.0 / (1 + (u * i) % 7)) for u in range(40) for i in range(12) if (u + i) % 3]
+    linked = [(draw.randrange(50), draw.randrange(14)) for _ in range(300)] + [(3, 4)] * 20
+    return (
+        spark.createDataFrame(shares, "user_id int, item_id int, proportion_of_orders double"),
+        spark.createDataFrame(linked, "user_id int, added_item_id int"), linked,
+    )
+
+
+def test_hit_rate_counts_every_order(spark):
+    """Orders that come several times, of unknown users and of unknown items, beside the lists themselves."""
+    shares, asked, linked = order_pairs(spark)
+    model = factors.fit(shares, rank=3, max_iter=2)
+    lists = {(r.user_id, r.item_id) for r in factors.recommend_users(model, 4).collect()}
+    assert len(lists) == 4 * 40
+    assert factors.hit_rate(model, asked, 4) == sum(pair in lists for pair in linked) / len(linked)
+    assert factors.hit_rate(model, asked.limit(0), 4) is None
+
+
+def test_trials_read_few_parts_and_a_row_per_user(spark, monkeypatch):
+    """Shares reach each fit in no more partitions than they need, and a trial reads users, not orders."""
+    shares, asked, linked = order_pairs(spark)
+    parts, rows, fit, recommend = [], [], factors.fit, factors.recommend_users
+    monkeypatch.setattr(factors, "fit", lambda df, *rest: parts.append(df.rdd.getNumPartitions()) or fit(df, *rest))
+    monkeypatch.setattr(factors, "recommend_users", lambda m, k, users: rows.append(users.count()) or recommend(m, k, users))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        matrix = factors.Matrix(shares.groupBy("user_id", "item_id").agg(F.max("proportion_of_orders").alias("proportion_of_orders")), None, None)
+        search = factors.tune(matrix, asked, trials=2, ranks=(2, 3), iterations=(1, 1))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(parts) <= 2 * spark.sparkContext.defaultParallelism
+    assert rows == [len({u for u, _ in linked})] * 2
+    assert len(search.trials) == 2 and all(0 < t["hit"] < 1 for t in search.trials)
