@@ -11,6 +11,7 @@ from tablewright.operators import buckets, evaluate, factors, groups, retrieval,
 from tablewright.operators.split import feature_target_split
 from tablewright.plans import roles
 from tablewright.plans.registry import query
+from tablewright.session import write_once
 
 NEIGHBOURS = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 pairs AS (SELECT a.vec_id AS query_id, b.vec_id AS corpus_id, round({score}, 6) AS score FROM v a CROSS JOIN v b),
@@ -79,7 +80,7 @@ def _(spark, sf):
 @query("als_vectors_topk")
 def _(spark, sf):
     matrix = factors.prepare(roles.user_orders(spark, sf))
-    users, items = factors.unit_vectors(factors.fit(matrix.shares), matrix)
+    users, items = factors.unit_vectors(factors.fit(write_once(matrix.shares, "shares")), matrix)
     return vectors.nearest(
         users.select(F.col("mpid").alias("query_id"), F.col("embedding").alias("vector")),
         items.select(F.col("item_idx").alias("corpus_id"), F.col("embedding").alias("vector")), 5, "dot",

@@ -78,3 +78,16 @@ def test_trials_read_few_parts_and_a_row_per_user(spark, monkeypatch):
     assert max(parts) <= 2 * spark.sparkContext.defaultParallelism
     assert rows == [len({u for u, _ in linked})] * 2
     assert len(search.trials) == 2 and all(0 < t["hit"] < 1 for t in search.trials)
+
+
+def test_many_shares_are_cut_into_more_blocks(spark, monkeypatch):
+    """Blocks stay of one size, and few shares are cut into as many as before."""
+    asked, als = [], factors.ALS
+    monkeypatch.setattr(factors, "ALS", lambda **given: asked.append(given) or als(**given))
+    shares, _, _ = order_pairs(spark)
+    rows = shares.count()
+    factors.fit(shares, rank=2, max_iter=1)
+    monkeypatch.setattr(factors, "BLOCK_SHARES", rows // 12)
+    model = factors.fit(shares, rank=2, max_iter=1)
+    assert [(a["numUserBlocks"], a["numItemBlocks"]) for a in asked] == [(10, 10), (13, 13)]
+    assert model.userFactors.count() == 40 and model.itemFactors.count() == 12

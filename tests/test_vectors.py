@@ -270,3 +270,11 @@ def test_retrieve_context(spark):
     assert got[8].passages == ["a great movie tonight"]
     assert got[8].system_prompt.endswith(
         "Context: " + "".join(f"Passage: {p}\n" for p in got[8].passages))
+
+
+def test_short_vectors_do_not_make_endless_sides(spark, monkeypatch):
+    """A row takes memory besides its numbers, so a side has so many rows at most, however short they are."""
+    known = spark.range(5000).select(F.col("id").alias("corpus_id"), F.array(F.lit(1.0)).alias("vector"))
+    assert vectors.side_rows(known, 10, 1 << 22) == (5000, vectors.SIDE_ROWS)
+    assert vectors.side_rows(known, 10, 300) == (5000, 300) and vectors.side_rows(known, 1 << 20, 300) == (5000, 1 << 20)
+    assert vectors.side_rows(known.select("corpus_id", F.array_repeat(F.lit(1.0), 64).alias("vector")), 4096, vectors.SIDE_VALUES) == (5000, 65536)
